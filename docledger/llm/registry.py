@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docledger.llm import bpe, pii
+from docledger.llm import bpe, pii, toxicity
 from docledger.llm.common import table
 
 
@@ -13,13 +13,17 @@ def op3_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bpe(spark, sf_dir, tokenizer: str | None = None):
     rows = bpe.encode(table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"))
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def queries() -> dict:
-    return {"op3_pii": op3_pii, "op8_bpe": op8_bpe}
+    return {"op3_pii": op3_pii, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe}
 
 
 def oracle_sql() -> dict:
