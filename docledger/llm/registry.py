@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docledger.llm import bpe, pii, toxicity
+from docledger.llm import bpe, pii, simhash, toxicity
 from docledger.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op3_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark, sf_dir):
+    return simhash.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark, sf_dir):
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -23,7 +27,7 @@ def op8_bpe(spark, sf_dir, tokenizer: str | None = None):
 
 
 def queries() -> dict:
-    return {"op3_pii": op3_pii, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe}
+    return {"op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe}
 
 
 def oracle_sql() -> dict:
