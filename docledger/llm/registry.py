@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docledger.llm import bpe, pii, simhash, toxicity
+from docledger.llm import bpe, decontaminate, pii, simhash, toxicity
 from docledger.llm.common import table
 
 
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -27,8 +31,8 @@ def op8_bpe(spark, sf_dir, tokenizer: str | None = None):
 
 
 def queries() -> dict:
-    return {"op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe}
+    return {"op1_decontaminate": op1_decontaminate, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op1_decontaminate": decontaminate.ORACLE}

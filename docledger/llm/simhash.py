@@ -6,7 +6,8 @@ shingles' XXH64 (seed 42) have it. A text without words, null included, has fing
 
 Two fingerprints that differ in at most BITS = 4 bits share at least 8 - 4 = 4 of their 8 positional bytes, and each
 four positions hold one of the 20 TRIPLES. So the index lists fingerprints by three positional bytes at a time; in a
-list, the shared positional bytes of a pair are tallied, pairs below 4 are dropped, and the rest verified. Of the links in
+list, the shared positional bytes of a pair are tallied, pairs below 4 are dropped, and the rest verified (5 to 7 bits
+go the same way by two bytes or one, with lists that are longer by 256 each time). Of the links in
 a list a spanning forest is kept, which joins the same documents with fewer pairs than the list has members. Lists
 of more than BLOCK fingerprints are cut into blocks, and each pair of blocks is a task's work of its own.
 Equal fingerprints count once in all of this.
@@ -16,6 +17,7 @@ Repeated rows are rows of the result; a null id is no component's name (a compon
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -38,6 +40,17 @@ _GROUP = (0, 0, 0, 1, 1, 1, 2, 2)
 TRIPLES = tuple(t for t in combinations(range(8), 3) if (g := sorted(_GROUP[p] for p in t)) and (g[0] == g[2] or g in ([0, 0, 1], [1, 1, 2], [0, 2, 2])))
 
 
+def positions(bits: int) -> tuple[tuple[int, ...], ...]:
+    """Sets of positions, one of which lies in any 8 - bits positions: what the index lists fingerprints by."""
+    if bits <= 4:
+        return TRIPLES
+    if bits == 5:  # two of any three lie in the same half
+        return tuple((a, b) for a, b in combinations(range(8), 2) if a // 4 == b // 4)
+    if bits > 7:
+        raise ValueError("fingerprints that differ in more than 7 bits may share no byte")
+    return tuple(combinations(range(8), 8 - bits))
+
+
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     """Of a text in UTF-8."""
     from xxhash import xxh64_intdigest
@@ -91,10 +104,10 @@ def forest(found: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
     return pairs
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """a, b: pairs of different fingerprints (column fp) that differ in at most BITS bits, enough of them to join all that are linked."""
+def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """a, b: pairs of different fingerprints (column fp) that differ in at most bits bits, enough of them to join all that are linked."""
     byte = [F.shiftrightunsigned("fp", 8 * p).bitwiseAND(F.lit(255)) for p in range(8)]
-    keys = [F.lit(k << 24) + F.shiftleft(byte[a], 16) + F.shiftleft(byte[b], 8) + byte[c] for k, (a, b, c) in enumerate(TRIPLES)]
+    keys = [reduce(lambda x, y: x + y, [F.shiftleft(byte[p], 8 * n) for n, p in enumerate(places)], F.lit(k << 24)) for k, places in enumerate(positions(bits))]
     index = fps.select("fp").distinct().select("fp", F.explode(F.array(*keys)).alias("list"))
     sizes = index.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -108,15 +121,15 @@ def links(fps: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column(0)
             values, ends = lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))
-            pairs = [p for part in np.split(values, ends[:-1]) for p in forest(part)] if len(lists) else []
+            pairs = [p for part in np.split(values, ends[:-1]) for p in forest(part, bits)] if len(lists) else []
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
 
     return pieces.select("fps").where(F.size("fps") > 1).mapInArrow(run, "a long, b long")
 
 
-def grouped(fps: DataFrame, key: str = "doc_id") -> DataFrame:
+def grouped(fps: DataFrame, key: str = "doc_id", bits: int = BITS) -> DataFrame:
     """fps (key, fp) with component_id: the smallest key of all rows that links reach, the row's own included."""
-    of = components(links(fps).distinct())
+    of = components(links(fps, bits).distinct())
     rows = fps.join(of.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = rows.groupBy("component").agg(F.min(key).alias("component_id"))
     return rows.join(least, "component").select(key, "fp", "component_id")
@@ -128,9 +141,9 @@ def digest(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The rows, all columns, of the smallest id of each component; of rows without an id one in a component that has no other."""
-    found = cut(grouped(cut(fingerprints(docs, shingle=shingle))))
+    found = cut(grouped(cut(fingerprints(docs, shingle=shingle)), bits=bits))
     more = found.where("doc_id != component_id").select("doc_id")
     kept = docs.where("doc_id is not null").join(more, "doc_id", "left_anti").select(docs.columns)
     twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
@@ -140,13 +153,13 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     nameless = found.where("doc_id is null and component_id is null").select("fp").distinct()
     if not nameless.isEmpty():
         lost = docs.where("doc_id is null").dropDuplicates(["text"])
-        kept = kept.unionByName(lost.limit(0) if lost.isEmpty() else _nameless(lost, nameless, shingle))
+        kept = kept.unionByName(lost.limit(0) if lost.isEmpty() else _nameless(lost, nameless, shingle, bits))
     return kept
 
 
-def _nameless(docs: DataFrame, fps: DataFrame, shingle: int) -> DataFrame:
+def _nameless(docs: DataFrame, fps: DataFrame, shingle: int, bits: int) -> DataFrame:
     """Of rows without an id: one for each component of fps, which hold no row with an id."""
     by_text = docs.withColumn("doc_id", F.xxhash64("text"))
     found = cut(fingerprints(by_text, shingle=shingle).join(fps, "fp", "left_semi"))
-    heads = grouped(found).select("component_id").distinct().withColumnRenamed("component_id", "doc_id")
+    heads = grouped(found, bits=bits).select("component_id").distinct().withColumnRenamed("component_id", "doc_id")
     return by_text.join(heads, "doc_id", "left_semi").select(docs.columns).withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))

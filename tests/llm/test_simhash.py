@@ -16,7 +16,7 @@ def plain(text, k=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def groups(rows):
+def groups(rows, bits=4):
     """component of each row of (id, fingerprint), by brute force."""
     parent = list(range(len(rows)))
 
@@ -26,7 +26,7 @@ def groups(rows):
         return x
 
     for i, j in combinations(range(len(rows)), 2):
-        if (rows[i][1] ^ rows[j][1]).bit_count() <= 4:
+        if (rows[i][1] ^ rows[j][1]).bit_count() <= bits:
             parent[root(i)] = root(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -37,7 +37,8 @@ def groups(rows):
 
 def test_triples_cover_all_fours():
     assert len(simhash.TRIPLES) == 20
-    assert all(any(set(t) <= set(four) for t in simhash.TRIPLES) for four in combinations(range(8), 4))
+    for bits in range(1, 8):
+        assert all(any(set(t) <= set(same) for t in simhash.positions(bits)) for same in combinations(range(8), 8 - bits))
 
 
 def test_fingerprints_equal_the_definition():
@@ -64,6 +65,11 @@ def test_random_links(spark, monkeypatch):
         assert Counter((r.doc_id, r.component_id) for r in simhash.grouped(table).collect()) == want
 
 
+    for bits in (2, 5, 6):
+        want = Counter(zip([d for d, _ in rows], groups(rows, bits), strict=True))
+        assert Counter((r.doc_id, r.component_id) for r in simhash.grouped(table, bits=bits).collect()) == want
+
+
 def test_long_paths(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(300)] + [(1000, 1001), (1001, 1000), (5, 5), (None, 3)], "a long, b long")
     got = {r.node: r.component for r in components.components(edges).collect()}
