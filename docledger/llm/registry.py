@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docledger.llm import bpe, decontaminate, pii, simhash, toxicity
+from docledger.llm import bpe, decontaminate, neighbours, pii, simhash, toxicity
 from docledger.llm.common import table
 
 
@@ -30,8 +30,12 @@ def op8_bpe(spark, sf_dir, tokenizer: str | None = None):
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_neighbours(spark, sf_dir):
+    return neighbours.digest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
-    return {"op1_decontaminate": op1_decontaminate, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe}
+    return {"op1_decontaminate": op1_decontaminate, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe, "op10_neighbours": op10_neighbours}
 
 
 def oracle_sql() -> dict:
