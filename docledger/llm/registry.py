@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def op10_neighbours(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_decontaminate": op1_decontaminate, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe, "op10_neighbours": op10_neighbours}
+    return {"op1_decontaminate": op1_decontaminate, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe, "op10_neighbours": op10_neighbours, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:

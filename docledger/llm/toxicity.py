@@ -218,7 +218,7 @@ def keep_ordinary(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema) if len(set(names)) == len(names) else docs
+    return docs.mapInArrow(run, docs.schema)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
