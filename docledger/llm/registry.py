@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docledger.llm import bpe, decontaminate, neighbours, pii, simhash, toxicity
+from docledger.llm import bpe, decontaminate, neighbours, pii, simhash, token_counts, toxicity
 from docledger.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_decontaminate(spark, sf_dir):
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_token_counts(spark, sf_dir):
+    return token_counts.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark, sf_dir):
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -36,8 +40,8 @@ def op10_neighbours(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_decontaminate": op1_decontaminate, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe, "op10_neighbours": op10_neighbours, "pipeline": corpus_pipeline.run}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_counts": op2_token_counts, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe, "op10_neighbours": op10_neighbours, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return {"op1_decontaminate": decontaminate.ORACLE}
+    return {"op1_decontaminate": decontaminate.ORACLE, "op2_token_counts": token_counts.ORACLE}
