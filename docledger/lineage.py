@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,10 @@ def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder: later reads survive lost executors and do not compute df again."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows, as Parquet in the shared folder: smaller than a checkpoint, and read by column."""
+    at = f"{shared_dir(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
