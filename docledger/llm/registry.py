@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from docledger.llm import bpe, decontaminate, neighbours, pii, simhash, token_counts, toxicity, warc
+from docledger.llm import bpe, decontaminate, neighbours, pii, simhash, substrings, token_counts, toxicity, warc
 from docledger.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_simhash(spark, sf_dir):
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_substrings(spark, sf_dir):
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark, sf_dir):
     return warc.digest(table(spark, sf_dir, "pages"))
 
@@ -44,7 +48,7 @@ def op10_neighbours(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_decontaminate": op1_decontaminate, "op2_token_counts": op2_token_counts, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op6_warc": op6_warc, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe, "op10_neighbours": op10_neighbours, "pipeline": corpus_pipeline.run}
+    return {"op1_decontaminate": op1_decontaminate, "op2_token_counts": op2_token_counts, "op3_pii": op3_pii, "op4_simhash": op4_simhash, "op5_substrings": op5_substrings, "op6_warc": op6_warc, "op7_toxicity": op7_toxicity, "op8_bpe": op8_bpe, "op10_neighbours": op10_neighbours, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
