@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from docledger.plans import documents, references, structure, tables
+
+_MODULES = (documents, structure, tables, references)
+
 
 def queries() -> dict:
-    return {}
+    return {name: plan for m in _MODULES for name, (plan, _) in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {name: sql for m in _MODULES for name, (_, sql) in m.QUERIES.items() if sql}
