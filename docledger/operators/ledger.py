@@ -99,10 +99,12 @@ def integrity(nodes: DataFrame, by: str = "doc") -> DataFrame:
 
 
 def grid(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Per table: n_rows, n_columns, and whether every place of the grid is taken. cells: row, column, column_span."""
-    size = cells.groupBy(*by).agg(F.max(F.col("column") + F.col("column_span")).cast("int").alias("n_columns"), F.count_distinct("row").alias("n_rows"))
+    """Per table: n_rows, n_columns, and whether every place of the grid is taken. cells: row, column, column_span, and declared, a table's own number of columns, if that is known."""
+    reach = F.max(F.col("column") + F.col("column_span"))
+    declared = F.max(F.when(F.col("declared") > 0, F.col("declared"))) if "declared" in cells.columns else F.lit(None)
+    size = cells.groupBy(*by).agg(F.coalesce(declared, reach).cast("int").alias("n_columns"), F.count_distinct("row").alias("n_rows"))
     taken = cells.select(*by, "row", F.explode(F.when(F.col("column_span") > 0, F.sequence(F.col("column"), F.col("column") + F.col("column_span") - 1))).alias("at")).distinct()
-    full = taken.groupBy(*by).agg(F.count("*").alias("taken"))
+    full = taken.join(size.select(*by, "n_columns"), by).where("at < n_columns").groupBy(*by).agg(F.count("*").alias("taken"))
     return size.join(full, by, "left").select(*by, "n_rows", "n_columns", (F.coalesce("taken", F.lit(0)) == F.col("n_rows") * F.col("n_columns")).alias("rectangular"))
 
 
@@ -124,7 +126,7 @@ def chart_candidates(cells: DataFrame, by: list[str]) -> DataFrame:
     shape = grid(cells, by)
     heads = header_rows(cells, by)
     one = heads.groupBy(*by).agg(F.count("*").alias("n"), F.min("row").alias("header")).where("n = 1").select(*by, "header")
-    good = cells.join(shape.where("rectangular and n_columns >= 2").select(*by, "n_columns"), by).join(one, by)
+    good = cells.join(shape.where("rectangular and n_columns >= 2").select(*by, "n_columns"), by).join(one, by).where("column < n_columns")
     text = F.length(F.trim("original")) > 0
     single = F.col("column_span") == 1
     columns = good.groupBy(*by, "column").agg(
