@@ -15,7 +15,7 @@ from pathlib import PurePosixPath
 
 from docledger import ids
 from docledger.functions.media import EXTENSIONS
-from docledger.sources import omml
+from docledger.sources import messages, omml
 from docledger.sources.opc import Finding, Package
 from docledger.sources.xmltree import DGM, MC, WP, A, C, Element, M, R, V, W, branch, effective, is_alternate, parse
 
@@ -114,15 +114,15 @@ def chart_facts(package: Package, part: str, rid: str) -> tuple[dict, list[Findi
 
     relation = _rels(package, part).get(rid)
     if relation is None:
-        note("MISSING_CHART_RELATIONSHIP", "chart relationship ID is not declared by owning part")
+        note("MISSING_CHART_RELATIONSHIP", messages.CHART_UNDECLARED)
         return out, found
     if not relation.type.endswith("/chart"):
-        note("NON_CHART_RELATIONSHIP", "relationship does not declare an OOXML chart type")
+        note("NON_CHART_RELATIONSHIP", messages.CHART_TYPE)
     at, outside = package.resolve(part, rid)
     if outside:
-        note("EXTERNAL_CHART_NOT_FETCHED", "external chart relationship was not fetched")
+        note("EXTERNAL_CHART_NOT_FETCHED", messages.CHART_EXTERNAL)
     elif not at:
-        note("UNRESOLVED_CHART_RELATIONSHIP", "chart target is missing or unsafe")
+        note("UNRESOLVED_CHART_RELATIONSHIP", messages.CHART_UNRESOLVED)
     if not at:
         return out, found
     data = package.read(at)
@@ -133,7 +133,7 @@ def chart_facts(package: Package, part: str, rid: str) -> tuple[dict, list[Findi
         note("INVALID_CHART_XML", str(e), at, None)
         return out, found
     if (root.uri, root.name) != (C, "chartSpace"):
-        note("UNEXPECTED_CHART_ROOT", "chart part does not have a c:chartSpace root", at, None)
+        note("UNEXPECTED_CHART_ROOT", messages.CHART_ROOT, at, None)
 
     def inner(e: Element | None, name: str) -> Element | None:
         return None if e is None else next((x for x in e.iter() if x is not e and (x.uri, x.name) == (C, name)), None)
@@ -162,17 +162,17 @@ def chart_facts(package: Package, part: str, rid: str) -> tuple[dict, list[Findi
     for e in (x for x in root.iter() if x is not root and (x.uri, x.name) == (C, "externalData")):
         r = e.get("id", R)
         if not r:
-            note("WORKBOOK_WITHOUT_RELATIONSHIP", "c:externalData has no r:id", at, None)
+            note("WORKBOOK_WITHOUT_RELATIONSHIP", messages.BOOK_UNNAMED, at, None)
             continue
         book, outside = package.resolve(at, r)
         if outside:
-            note("EXTERNAL_WORKBOOK_NOT_FETCHED", "external workbook relationship was not fetched", at, r)
+            note("EXTERNAL_WORKBOOK_NOT_FETCHED", messages.BOOK_EXTERNAL, at, r)
         elif not book:
-            note("UNRESOLVED_WORKBOOK_RELATIONSHIP", "embedded workbook target is missing or unsafe", at, r)
+            note("UNRESOLVED_WORKBOOK_RELATIONSHIP", messages.BOOK_UNRESOLVED, at, r)
         elif "spreadsheetml" in (package.content_type(book) or "") or book.lower().endswith(WORKBOOKS):
             books.add(book)
         else:
-            note("UNEXPECTED_WORKBOOK_TARGET", "c:externalData target is not a recognised workbook package", at, r)
+            note("UNEXPECTED_WORKBOOK_TARGET", messages.BOOK_TYPE, at, r)
     out["embedded_workbook_parts"] = sorted(books)
     return out, found
 
@@ -222,12 +222,12 @@ class Reader:
     def read(self, parts: list[str]) -> None:
         for self.part in parts:
             if not self.package.has(self.part):
-                self.note("MISSING_CONFIGURED_PART", "warning", f"Configured XML part is absent: {self.part}")
+                self.note("MISSING_CONFIGURED_PART", "warning", messages.ABSENT_PART.format(self.part))
                 continue
             try:
                 root = self.package.xml(self.part)
             except Exception as e:  # a broken member is a finding, not the end of the document
-                self.note("INVALID_XML_PART", "error", f"Could not parse {self.part}: {e}")
+                self.note("INVALID_XML_PART", "error", messages.UNPARSED.format(self.part, e))
                 continue
             name = PurePosixPath(self.part).name
             kind = next((k for start, k in self.ROOTS if name == start or (not start.endswith(".xml") and name.startswith(start))), "part")
@@ -235,7 +235,7 @@ class Reader:
             if kind == "document_body":
                 body = root.down("body") if (root.uri, root.name) == (W, "document") else None
                 if body is None:
-                    self.note("MISSING_DOCUMENT_BODY", "error", "word/document.xml has no w:body", node)
+                    self.note("MISSING_DOCUMENT_BODY", "error", messages.NO_BODY, node)
                     continue
                 root = body
             self.blocks(root.children, node)
@@ -250,12 +250,12 @@ class Reader:
                 rule(self, e, parent)
             elif e.name not in ("proofErr", "permStart", "permEnd"):
                 shown = sum(1 for x in e.iter() if x is not e and (x.uri, x.name) == (W, "t"))
-                self.unsupported(e, parent, {"feature_type": e.name, "visible_text_nodes": shown}, "UNSUPPORTED_BLOCK_ELEMENT", f"Unsupported block element: {e.name}", "warning" if shown else "info")
+                self.unsupported(e, parent, {"feature_type": e.name, "visible_text_nodes": shown}, "UNSUPPORTED_BLOCK_ELEMENT", messages.BLOCK.format(e.name), "warning" if shown else "info")
 
     def alternate(self, e: Element, parent: dict, go_on) -> None:
         chosen = branch(e)
         if chosen is None:
-            self.unsupported(e, parent, {"feature_type": "markup_compatibility_alternate_content"}, "UNSUPPORTED_MARKUP_COMPATIBILITY_BRANCH", "Markup Compatibility content has no supported Choice or Fallback branch")
+            self.unsupported(e, parent, {"feature_type": "markup_compatibility_alternate_content"}, "UNSUPPORTED_MARKUP_COMPATIBILITY_BRANCH", messages.ALTERNATE)
         else:
             go_on(chosen.children, parent)
 
@@ -321,7 +321,7 @@ class Reader:
             elif e.children:  # wrappers such as tracked changes and smart tags
                 self.inline(e.children, parent, look)
             elif e.text.strip() and e.name not in ("smartTag", "customXml", "ins", "del", "moveFrom", "moveTo"):
-                self.unsupported(e, parent, {"feature_type": e.name, "text": e.text}, "UNSUPPORTED_INLINE_ELEMENT", f"Unsupported visible inline element: {e.name}")
+                self.unsupported(e, parent, {"feature_type": e.name, "text": e.text}, "UNSUPPORTED_INLINE_ELEMENT", messages.INLINE.format(e.name))
 
     def run(self, e: Element, parent: dict, _) -> None:
         p = e.down("rPr")
@@ -350,7 +350,7 @@ class Reader:
         written = " ".join(found) or None
         node = self.emit("equation", e, parent, {"latex": written, "display": display, "raw_omml": e.xml()}, "extracted" if written else "failed")
         if node and written is None:
-            self.note("EQUATION_CONVERSION_FAILED", "error", error or "OMML equation produced no LaTeX", node)
+            self.note("EQUATION_CONVERSION_FAILED", "error", error or messages.NO_LATEX, node)
 
     def line_end(self, e: Element, parent: dict, _) -> None:
         kind = e.get("type", W) or "line"
@@ -393,7 +393,7 @@ class Reader:
             status = "unsupported" if linked or outside else "failed"
         node = self.emit("image", e, parent, {"relationship_id": rid, "target_part": inside, "external_url": outside, "linked": linked, "asset_id": asset, **facts}, status, rid)
         if node and asset is None:
-            self.note("UNRESOLVED_IMAGE_RELATIONSHIP", "warning" if linked else "error", f"Could not resolve image relationship {rid!r}", node)
+            self.note("UNRESOLVED_IMAGE_RELATIONSHIP", "warning" if linked else "error", messages.IMAGE.format(rid), node)
 
     def asset(self, part: str) -> str:
         data = self.package.read(part)
@@ -424,7 +424,7 @@ class Reader:
         for x in (x for x in shown if (x.uri, x.name) == (W, "txbxContent")):
             count += self.text_box(x, parent, facts)
         if not count:
-            self.unsupported(e, parent, {"feature_type": "drawing", **facts}, "UNSUPPORTED_DRAWING", "Drawing contained no supported image, chart, or text box")
+            self.unsupported(e, parent, {"feature_type": "drawing", **facts}, "UNSUPPORTED_DRAWING", messages.DRAWING)
 
     def chart(self, e: Element, parent: dict, facts: dict) -> None:
         rid = e.get("id", R)
@@ -443,7 +443,7 @@ class Reader:
             elif (x.uri, x.name) == (W, "txbxContent"):
                 count += self.text_box(x, parent, {"placement": "vml"})
         if not count:
-            self.unsupported(e, parent, {"feature_type": "vml_picture"}, "UNSUPPORTED_VML_CONTENT", "VML content contains no supported image or textbox")
+            self.unsupported(e, parent, {"feature_type": "vml_picture"}, "UNSUPPORTED_VML_CONTENT", messages.VML)
 
     BLOCKS = {"p": paragraph, "tbl": table, "sdt": control, "footnote": note_item, "endnote": note_item, "comment": note_item, "sectPr": section_end, "bookmarkStart": bookmark, "bookmarkEnd": bookmark}
     INLINE = {
@@ -493,9 +493,9 @@ def inventory(package: Package, parts: list[str]) -> tuple[list[dict], list[Find
                 inside, outside = package.resolve(part, rid)
                 row("image_blips", e, None, rid, inside)
                 if not rid:
-                    found.append(Finding("IMAGE_WITHOUT_RELATIONSHIP", "warning", "image element has no relationship reference", part))
+                    found.append(Finding("IMAGE_WITHOUT_RELATIONSHIP", "warning", messages.NO_IMAGE_RELATIONSHIP, part))
                 elif inside is None and not outside:
-                    found.append(Finding("UNRESOLVED_IMAGE_RELATIONSHIP", "warning", f"unable to resolve {rid}", part, rid))
+                    found.append(Finding("UNRESOLVED_IMAGE_RELATIONSHIP", "warning", messages.UNRESOLVED.format(rid), part, rid))
             elif key == (W, "hyperlink"):
                 row("hyperlinks", e, None, e.get("id", R))
             elif key == (C, "chart"):
