@@ -2,7 +2,7 @@
 
 Both dictionaries begin with the same ordinary text. The toxic one goes on with stretches that labelled toxic texts
 share and ordinary ones lack. A window is some 32 bytes of whole words; its distance is the bytes by which the toxic
-dictionary compresses it better. The distances of all windows of a text give six figures (FEATURES), and a logistic
+dictionary compresses it better, at the two LEVELS together. The distances of all windows of a text give six figures (FEATURES), and a logistic
 curve over them, calibrated on labelled texts that chose no dictionary, gives the score.
 
 Fitting reads at most PER_CLASS labelled texts of each class, the ones with the smallest hash of the id, none longer
@@ -33,7 +33,8 @@ PER_CLASS = 3000
 LONGEST = 200_000
 #: Bytes of ordinary text in either dictionary, and most bytes of toxic stretches.
 BASE, TAIL = 16_384, 16_384
-LEVEL = 3
+#: Levels of compression whose distances are added up: each has its own way to look for matches, and so its own errors.
+LEVELS = (3, 4)
 THRESHOLD = 0.7
 #: Share of the weight that toxic texts have in the calibration, whatever share of the sample they are.
 SHARE = 0.2
@@ -64,22 +65,22 @@ class Distance:
     """Compresses windows with both dictionaries."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.by = [self._compressor(x) for x in (ordinary, toxic)]
+        self.by = [(self._compressor(ordinary, level), self._compressor(toxic, level)) for level in LEVELS]
 
     @staticmethod
-    def _compressor(content: bytes):
+    def _compressor(content: bytes, level: int):
         import zstandard
 
         book = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        book.precompute_compress(level=LEVEL)
-        return zstandard.ZstdCompressor(level=LEVEL, dict_data=book, write_content_size=False, write_dict_id=False, write_checksum=False)
+        book.precompute_compress(level=level)
+        return zstandard.ZstdCompressor(level=level, dict_data=book, write_content_size=False, write_dict_id=False, write_checksum=False)
 
     def features(self, words: bytes) -> list[float]:
-        ordinary, toxic = (c.compress for c in self.by)
+        by = [(o.compress, t.compress) for o, t in self.by]
         found: Counter = Counter()
         for m in _WINDOW.finditer(words):
             window = b" " + m[0]
-            found[len(ordinary(window)) - len(toxic(window))] += 1
+            found[sum(len(o(window)) - len(t(window)) for o, t in by)] += 1
         n = sum(found.values())
         if not n:
             return [0.0] * len(FEATURES)
