@@ -130,9 +130,7 @@ def link_targets(spark, sf_dir):
 
 LINK_TARGETS = f"""
 WITH l AS ({_sql_found(_LINK, "url")}),
-c AS (SELECT page_id, pos, url, regexp_replace((CASE pos % 3 WHEN 0 THEN '..' WHEN 1 THEN '../..' ELSE './a/..' END) || url, '[#?].*$', '') AS p FROM l),
-f AS (SELECT *, string_split(p, '/') AS x FROM c),
-k AS (SELECT *, list_filter(x, lambda y: y NOT IN ('', '.', '..', 'a') OR (y = 'a' AND false)) AS rest FROM f)
+k AS (SELECT page_id, pos, list_filter(string_split(regexp_replace(url, '[#?].*$', ''), '/'), lambda y: y NOT IN ('', '.')) AS rest FROM l)
 SELECT page_id, pos, CASE pos % 3 WHEN 0 THEN CASE WHEN len(rest) = 0 THEN 'word' ELSE 'word/' || array_to_string(rest, '/') END
        WHEN 1 THEN CASE WHEN len(rest) = 0 THEN NULL ELSE array_to_string(rest, '/') END
        ELSE CASE WHEN len(rest) = 0 THEN 'word/sub' ELSE 'word/sub/' || array_to_string(rest, '/') END END AS inside,
