@@ -195,16 +195,16 @@ def health(documents: DataFrame) -> DataFrame:
 
 
 def evidence(nodes: DataFrame) -> DataFrame:
-    """doc, doc_id, seq, rank, evidence_id, kind, block_id, sources, text, asset_id, sections (ids in order): one item for each block that can be cited, and for each drawable table one more."""
+    """doc, doc_id, seq, rank, evidence_id, kind, block_id, sources, text, asset_id, sections (ids in order), content (what a drawable table shows, as JSON): one item for each block that can be cited, and for each drawable table one more."""
     b = blocks(nodes)
     placed = section_blocks(b, sections(nodes)).groupBy("doc", "block_id").agg(F.transform(F.array_sort(F.collect_set(F.struct("section_seq", "section_id"))), lambda x: x["section_id"]).alias("sections"))
     none = F.array().cast("array<string>")
     rows = b.where(F.col("kind").isin(*ledger.EVIDENCE_KINDS)).join(placed, ["doc", "block_id"], "left").withColumn("sections", F.coalesce("sections", none))
-    first = rows.select("doc", "doc_id", "seq", F.lit(0).alias("rank"), ids.evidence_id(F.col("doc_id"), F.col("kind"), F.col("block_id"), "primary", F.col("sources")).alias("evidence_id"), "kind", "block_id", "sources", "text", "asset_id", "sections")
+    first = rows.select("doc", "doc_id", "seq", F.lit(0).alias("rank"), ids.evidence_id(F.col("doc_id"), F.col("kind"), F.col("block_id"), "primary", F.col("sources")).alias("evidence_id"), "kind", "block_id", "sources", "text", "asset_id", "sections", F.lit(None).cast("string").alias("content"))
     drawn = rows.where("kind = 'table'").select("doc", "doc_id", F.col("seq").alias("table"), "block_id", "sections").join(chart_candidates(nodes), ["doc", "table"])
     more = drawn.select(
         "doc", "doc_id", F.col("table").alias("seq"), F.lit(1).alias("rank"), ids.evidence_id(F.col("doc_id"), "chart_candidate", F.col("block_id"), "table-profile", F.col("sources")).alias("evidence_id"), F.lit("chart_candidate").alias("kind"),
-        "block_id", "sources", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("asset_id"), "sections",
+        "block_id", "sources", F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("asset_id"), "sections", F.to_json(F.struct("category_column", "categories", "series")).alias("content"),
     )
     return first.unionByName(more)
 

@@ -55,6 +55,7 @@ def test_outline_and_one_repair(spark, folder):
     outline = run(spark, folder, good)
     assert len(contracts.slides(outline)[0]["evidence"]) == 2 and len(good.prompts) == 4
     told = json.dumps([x for _, x in good.prompts])
+    assert '\\"series\\":\\"y=2\\"' in told
     assert not any(word in told for word in ("node-", "view-f", "xml_path", "word/document.xml", "block_id"))
     bad = Fake(bad=True)
     assert run(spark, folder, bad) == outline and len(bad.prompts) == 5 and "unknown evidence ID 'gone'" in bad.prompts[-1][0]
