@@ -200,14 +200,15 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     kind = docs.schema[key].dataType.simpleString()
     keyed = _keyed(docs, key, text)
     found = written(keyed.mapInArrow(_scan(None), f"d {kind}, t long, at long, n int, anchor long, content long"))
-    anchors = found.groupBy("anchor").agg(F.count("*").alias("times"), F.min("content").alias("a"), F.max("content").alias("b")).where("times > 1")
+    # written first, so that the join's sides are both shuffled as they are and a hot anchor's rows can be split
+    anchors = written(found.groupBy("anchor").agg(F.count("*").alias("times"), F.min("content").alias("a"), F.max("content").alias("b")).where("times > 1").select("anchor", "a", "b"))
     met = written(found.join(anchors, "anchor").select("d", "t", "at", "n", "anchor", "content", (F.col("a") == F.col("b")).alias("alike")))
     place = ["d", "t", F.col("at").alias("s"), (F.col("at") + F.col("n")).alias("e")]
     unlike = met.where("not alike")
     kinds = written(unlike.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("d", "t", "at", "n")).alias("one")))
     whole = met.where("alike").select(*place).unionByName(unlike.join(kinds.where("times > 1").select("anchor", "content"), ["anchor", "content"], "left_semi").select(*place))
 
-    open_ = kinds.groupBy("anchor").agg(F.min("times").alias("least"), F.count("*").alias("kinds")).where("least = 1").select("anchor", "kinds")
+    open_ = written(kinds.groupBy("anchor").agg(F.min("times").alias("least"), F.count("*").alias("kinds")).where("least = 1").select("anchor", "kinds"))
     wanted = kinds.join(open_, "anchor").select("anchor", "times", (F.col("kinds") > HOT).alias("hot"), "one.*")
     size = wanted.agg(F.sum("n")).first()[0] or 0
     shard = F.pmod(F.xxhash64("anchor"), F.lit(size // SHARD + 1)).alias("shard")
