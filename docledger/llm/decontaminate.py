@@ -14,6 +14,10 @@ BROADCAST bytes, else joined by shuffling. Documents are taken apart without a s
 
 Null text has no words. Repeated rows give repeated rows; rows that share an id but not the text are told apart.
 A null id is a value like others; null item ids take no part.
+
+contaminated says that windows of least_items items or more are found. With mostly it also says that a document holds that share or more of
+the different windows of one item. Items of fewer than SPAN words, which any text
+may hold by chance, have no share and count by their number alone.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from pyspark.sql import functions as F
 from docledger.llm.common import ascii_lower
 
 SPAN, GRAM = 8, 5
+#: Share of an item's windows from which a document holds the item.
+MOSTLY = 0.5
 #: Most bytes of item windows, at BYTES each, that are sent to all executors.
 BROADCAST = 64 << 20
 BYTES = 48
@@ -79,8 +85,8 @@ def hits(docs: DataFrame, windows: DataFrame, sizes: list[int], broadcast: bool)
     return reduce(DataFrame.unionByName, parts)
 
 
-def find(docs: DataFrame, items: DataFrame, least_items: int = 2) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (ids as text, sorted as text), contaminated (n_items >= least_items), one row per row of docs."""
+def find(docs: DataFrame, items: DataFrame, least_items: int = 2, mostly: float | None = None) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items (ids as text, sorted as text), contaminated (n_items >= least_items or, with mostly, that share of an item held), one row per row of docs."""
     windows = index(items)
     known = windows.groupBy("size").agg(F.count("*").alias("n")).collect()  # eight rows at most
     sizes = [SPAN, *sorted(r["size"] for r in known if r["size"] != SPAN)]
@@ -99,15 +105,20 @@ def find(docs: DataFrame, items: DataFrame, least_items: int = 2) -> DataFrame:
     )
     per_doc = found.groupBy("doc").agg(F.max("n").cast("long").alias("n_words"), F.count("n").alias("rows"), spans.alias("spans"), F.collect_set("whole").alias("wholes"))
     per_doc = per_doc.select("doc", "n_words", "rows", covered.alias("n_hit"), "wholes")
-    pairs = per_doc.where(F.size("wholes") > 0).select("doc", F.explode("wholes").alias("whole")).join(windows.select("whole", "item_id").distinct(), "whole")
-    named = pairs.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    pairs = per_doc.where(F.size("wholes") > 0).select("doc", F.explode("wholes").alias("whole")).join(windows.select("whole", "item_id", *["size"] * (mostly is not None)).distinct(), "whole")
+    ids, mine = F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"), F.lit(False)
+    if mostly is not None:
+        totals = windows.where(F.col("size") == SPAN).groupBy("item_id").agg(F.count("*").alias("total"))
+        pairs = pairs.groupBy("doc", "item_id").agg(F.count(F.when(F.col("size") == SPAN, F.lit(1))).alias("n")).join(totals, "item_id", "left")
+        mine = F.coalesce(F.max(F.col("n") >= mostly * F.col("total")), F.lit(False))
+    named = pairs.groupBy("doc").agg(ids, mine.alias("held"))
     out = per_doc.select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.hash").alias("hash"), "n_words", "n_hit", "rows")
-    named = named.select(F.col("doc.doc_id").alias("d"), F.col("doc.hash").alias("h"), "items")
+    named = named.select(F.col("doc.doc_id").alias("d"), F.col("doc.hash").alias("h"), "items", "held")
     out = out.join(named, out["doc_id"].eqNullSafe(named["d"]) & (out["hash"] == named["h"]), "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     # rows that were equal in id and text are as many again
     out = out.select("*", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"))
     n = F.size("items").cast("long")
-    return out.select("doc_id", "hash", "n_words", "n_hit", n.alias("n_items"), "items", (n >= least_items).alias("contaminated"))
+    return out.select("doc_id", "hash", "n_words", "n_hit", n.alias("n_items"), "items", ((n >= least_items) | F.coalesce("held", F.lit(False))).alias("contaminated"))
 
 
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -115,9 +126,9 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, least_items: int = 2) -> DataFrame:
-    """The rows of docs, all columns, that are not contaminated."""
-    bad = find(docs, items, least_items).where("contaminated").select(F.col("doc_id").alias("d"), F.col("hash").alias("h")).distinct()
+def keep_clean(docs: DataFrame, items: DataFrame, least_items: int = 2, mostly: float | None = None) -> DataFrame:
+    """The rows of docs, all columns, that are not contaminated and, with mostly, do not hold that share of an item."""
+    bad = find(docs, items, least_items, mostly).where("contaminated").select(F.col("doc_id").alias("d"), F.col("hash").alias("h")).distinct()
     marked = docs.withColumn("__h", F.xxhash64("text"))
     return marked.join(bad, marked["doc_id"].eqNullSafe(bad["d"]) & (marked["__h"] == bad["h"]), "left_anti").select(docs.columns)
 
