@@ -4,98 +4,111 @@ Words: A-Z are lower-cased; a word is a run of digits, a-z and characters beyond
 consecutive words of an item; an item of fewer words, but not none, is one window. A document word is hit if it lies in
 any occurrence of a window.
 
-Winnowing: a k-gram is GRAM = 5 words, and of each SPAN - GRAM + 1 = 4 neighbouring k-grams the smallest hash is kept.
-Equal windows keep equal hashes, so every shared span of SPAN words meets its item in the join of the kept
-hashes. A meeting is extended to the window around it, which counts if the hash of all its words is equal too. Items
-shorter than SPAN go the same way with windows of their own length, whose only k-gram is the window.
+Winnowing: a k-gram is GRAM = 5 words, and of each SPAN - GRAM + 1 = 4 neighbouring k-grams the one with the smallest
+hash (the last of equals) is kept as a fingerprint, once for all windows that choose it. The fingerprints of documents meet those of items in
+one join. A window's words alone decide which fingerprint it chooses, so every shared span of SPAN words holds one that meets.
+A meeting is extended to the windows of SPAN words around it, up to four, and those that equal an item's word by word are hits.
+Items shorter than SPAN go the same way with windows of their own length, whose fingerprint is their smallest k-gram or, below GRAM words, the window.
 
-A window's hash is 64 bits of XXH64 over 64-bit hashes of the words. The windows of the items are broadcast if they are at most
-BROADCAST bytes, else joined by shuffling. Documents are taken apart without a shuffle; what is shuffled are the hits.
+Documents are read and taken apart once, without a shuffle; hits (one row for each document besides) are written to the shared folder and all sums
+are made from these. Fingerprints and windows of the items are broadcast if they are at most BROADCAST bytes, else what documents keep
+is shuffled: fingerprints with the few words around them.
 
 Null text has no words. Repeated rows give repeated rows; rows that share an id but not the text are told apart.
 A null id is a value like others; null item ids take no part.
 
-contaminated says that windows of least_items items or more are found. With mostly it also says that a document holds that share or more of
-the different windows of one item. Items of fewer than SPAN words, which any text
-may hold by chance, have no share and count by their number alone.
+contaminated says that windows of least_items items or more are found. With alone it also says that a window of SPAN words of any one item is
+found. Items of fewer words, which any text may hold by chance, count by their number alone.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docledger.lineage import written
 from docledger.llm.common import ascii_lower
 
 SPAN, GRAM = 8, 5
-#: Share of an item's windows from which a document holds the item.
-MOSTLY = 0.5
 #: Most bytes of item windows, at BYTES each, that are sent to all executors.
 BROADCAST = 64 << 20
-BYTES = 48
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BYTES = 192
+#: What stands between words, A-Z being lower-cased before.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """The words of a text, none if it is null."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    spaced = F.trim(F.regexp_replace(ascii_lower(text), GAP, " "))
+    return F.when(F.length(spaced) > 0, F.split(spaced, " ")).otherwise(F.array().cast("array<string>"))
+
+
+def _taken(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """keep, words, codes (their hashes) and n of each row's text."""
+    split = rows.select(*keep, words(F.col("text")).alias("words"))
+    return split.select(*keep, "words", F.transform("words", lambda w: F.xxhash64(w)).alias("codes"), F.size("words").alias("n"))
 
 
-def _gram(codes: Column, at: Column, size: int) -> Column:
-    return F.xxhash64(*[F.get(codes, at + k) for k in range(size)])
+def _gram(at: Column, size: int) -> Column:
+    return F.xxhash64(*[F.get("codes", at + k) for k in range(size)])
 
 
-def _windows(rows: DataFrame, keep: list[str], size: int) -> DataFrame:
-    """keep, pos, least (smallest hash of a k-gram) and whole (hash) of each window of size words; rows have codes, the words' hashes, and n."""
-    gram = min(size, GRAM)
-    at = rows.where(F.col("n") >= size).select(*keep, "codes", F.explode(F.sequence(F.lit(0), F.col("n") - size)).alias("pos"))
-    least = reduce(F.least, [_gram(F.col("codes"), F.col("pos") + k, gram) for k in range(size - gram + 1)])
-    return at.select(*keep, "pos", F.lit(size).alias("size"), least.alias("least"), _gram(F.col("codes"), F.col("pos"), size).alias("whole"))
+def _least(size: int, at: Column) -> Column:
+    """The smallest hash of a k-gram in the window of size words from a place."""
+    grams = [_gram(at + k, min(size, GRAM)) for k in range(max(1, size - GRAM + 1))]
+    return F.least(*grams) if len(grams) > 1 else grams[0]
 
 
-def _coded(text: Column) -> Column:
-    return F.transform(words(text), lambda w: F.xxhash64(w))
+def _chosen() -> Column:
+    """Whether the window of SPAN words at pos has chosen another k-gram than the window before it; those after it that choose the same follow at once."""
+    before, *mine = (_gram(F.col("pos") + k, GRAM) for k in range(-1, SPAN - GRAM + 1))
+    return (F.col("pos") == 0) | (before < F.least(*mine[:-1])) | (mine[-1] <= F.least(before, *mine[:-1]))
 
 
 def index(items: DataFrame) -> DataFrame:
-    """item_id, size, least, whole: the winnowed windows of the benchmark, each once for an item."""
-    coded = items.where("item_id is not null").select("item_id", _coded(F.col("text")).alias("codes")).withColumn("n", F.size("codes"))
-    parts = [_windows(coded, ["item_id"], SPAN)] + [_windows(coded.where(F.col("n") == k), ["item_id"], k) for k in range(1, SPAN)]
-    return reduce(DataFrame.unionByName, parts).select("item_id", "size", "least", "whole").distinct()
+    """item_id, size, print (hash of the chosen k-gram) and window (words) of the benchmark's windows, each once for an item."""
+    size = F.least(F.lit(SPAN), F.col("n"))
+    at = _taken(items.where("item_id is not null"), ["item_id"]).where("n > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("n") - size)).alias("pos"))
+    least = F.coalesce(*[F.when(size == k, _least(k, F.col("pos"))) for k in range(1, SPAN + 1)])
+    return at.select("item_id", size.alias("size"), least.alias("print"), F.slice("words", F.col("pos") + 1, size).alias("window")).distinct()
 
 
 def hits(docs: DataFrame, windows: DataFrame, sizes: list[int], broadcast: bool) -> DataFrame:
-    """doc, pos, size, whole of each occurrence of a window, and one row (pos null) for each row of docs (doc, n, codes)."""
-    known = windows.select("size", "least", "whole").distinct()
-    # the row of a document and its windows come from one pass: position -1 stands for the document
-    parts = []
-    for size in sizes:
-        gram = min(size, GRAM)
-        begin = F.lit(-1 if size == sizes[0] else 0)
-        stop = F.col("n") - size
-        at = docs if size == sizes[0] else docs.where(F.col("n") >= size)
-        at = at.select("doc", "n", "codes", F.explode(F.sequence(begin, F.greatest(begin, stop))).alias("pos"))
-        least = reduce(F.least, [_gram(F.col("codes"), F.col("pos") + k, gram) for k in range(size - gram + 1)]) if size > gram else _gram(F.col("codes"), F.col("pos"), gram)
-        seen = at.select("doc", F.when(F.col("pos") < 0, F.col("n")).alias("n"), "pos", least.alias("least"), _gram(F.col("codes"), F.col("pos"), size).alias("whole"))
-        mine = known.where(F.col("size") == size).select(F.col("least").alias("l"), F.col("whole").alias("w"))
-        met = seen.join(F.broadcast(mine) if broadcast else mine, (F.col("pos") >= 0) & (F.col("least") == F.col("l")) & (F.col("whole") == F.col("w")), "left")
-        parts.append(met.where("pos < 0 or w is not null").select("doc", "n", F.when(F.col("pos") >= 0, F.col("pos")).alias("pos"), F.lit(size).alias("size"), F.col("w").alias("whole")))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def find(docs: DataFrame, items: DataFrame, least_items: int = 2, mostly: float | None = None) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (ids as text, sorted as text), contaminated (n_items >= least_items or, with mostly, that share of an item held), one row per row of docs."""
-    windows = index(items)
+    """doc, pos, size, whole (hash of the window) of each occurrence of a window, and one row with n and no pos for each row of docs (doc, text)."""
+    small = F.broadcast if broadcast else lambda rows: rows
+    # the row of a document and its places come from one pass: place -1 stands for the document
+    at = _taken(docs, ["doc"]).select("doc", "n", "words", "codes", F.explode(F.sequence(F.lit(-1), F.col("n") - 1)).alias("pos"))
+    fits = lambda k: (F.col("pos") >= 0) & (F.col("pos") <= F.col("n") - k)
+    prints = [F.struct(F.lit(k).alias("size"), F.when(fits(k) & _chosen() if k == SPAN else fits(k), _least(k, F.col("pos"))).alias("print")) for k in sizes]
+    seen = at.select("*", prints[0].alias("p")) if len(prints) == 1 else at.select("*", F.explode(F.array(*prints)).alias("p")).where((F.col("pos") >= 0) | (F.col("p.size") == sizes[0]))
+    seen = seen.select("doc", "n", "words", "codes", "pos", F.col("p.size").alias("size"), F.col("p.print").alias("print")).where("pos < 0 or print is not null")
+    last = F.when((F.col("size") == SPAN) & (F.col("pos") >= 0), F.least(F.col("pos") + (SPAN - GRAM), F.col("n") - SPAN)).otherwise(F.col("pos"))
+    near = [F.col("pos").alias("first"), last.alias("last")]
+    if not broadcast:
+        seen = seen.select("doc", "n", "pos", "size", "print", *near, F.slice("words", F.greatest(F.lit(1), F.col("pos") + 1), F.when(F.col("pos") < 0, 0).otherwise(last - F.col("pos") + F.col("size"))).alias("words"))
+    known = windows.select("size", "print").distinct().select(F.col("size").alias("s"), F.col("print").alias("f"))
+    met = seen.join(small(known), (F.col("pos") >= 0) & (F.col("size") == F.col("s")) & (F.col("print") == F.col("f")), "left").where("pos < 0 or f is not null")
+    if broadcast:
+        met = met.select("doc", "n", "pos", "size", *near, "words")
+    # extend: the windows around a meeting, word by word
+    spread = met.select("doc", "n", "size", "first", "words", F.explode(F.sequence("first", "last")).alias("pos"))
+    base = F.lit(1) if broadcast else F.lit(1) - F.greatest(F.lit(0), F.col("first"))
+    spread = spread.select("doc", "n", "pos", "size", F.when(F.col("pos") >= 0, F.slice("words", F.col("pos") + base, F.col("size"))).alias("mine")).withColumn("whole", F.xxhash64("mine"))
+    theirs = windows.select(F.col("size").alias("s"), "window").distinct().withColumn("w", F.xxhash64("window"))
+    out = spread.join(small(theirs), (F.col("pos") >= 0) & (F.col("size") == F.col("s")) & (F.col("whole") == F.col("w")) & (F.col("mine") == F.col("window")), "left").where("pos < 0 or w is not null")
+    return out.select("doc", F.when(F.col("pos") < 0, F.col("n")).alias("n"), F.when(F.col("pos") >= 0, F.col("pos")).alias("pos"), "size", F.col("w").alias("whole"))
+
+
+def find(docs: DataFrame, items: DataFrame, least_items: int = 2, alone: bool = False) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items (ids as text, sorted as text), contaminated (n_items >= least_items or, with alone, a whole window of any item), one row per row of docs."""
+    windows = written(index(items))
     known = windows.groupBy("size").agg(F.count("*").alias("n")).collect()  # eight rows at most
     sizes = [SPAN, *sorted(r["size"] for r in known if r["size"] != SPAN)]
     broadcast = sum(r["n"] for r in known) * BYTES <= BROADCAST
-    base = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc"), _coded(F.col("text")).alias("codes"))
-    found = hits(base.select("doc", "codes", F.size("codes").alias("n")), windows, sizes, broadcast)
+    found = written(hits(docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc"), "text"), windows, sizes, broadcast))
 
     # one pass over the hits of a document, in order: each adds the words beyond the furthest word so far
-    spans = F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", (F.col("pos") + F.col("size")).alias("end"))))))
+    spans = F.array_sort(F.collect_set(F.when(F.col("pos").isNotNull(), F.struct("pos", (F.col("pos") + F.col("size")).alias("end")))))
     start = F.struct(F.lit(0).alias("far"), F.lit(0).cast("long").alias("hit"))
     covered = F.aggregate(
         "spans",
@@ -103,22 +116,17 @@ def find(docs: DataFrame, items: DataFrame, least_items: int = 2, mostly: float
         lambda s, x: F.struct(F.greatest(s["far"], x["end"]).alias("far"), (s["hit"] + F.greatest(F.lit(0), x["end"] - F.greatest(s["far"], x["pos"]))).alias("hit")),
         lambda s: s["hit"],
     )
-    per_doc = found.groupBy("doc").agg(F.max("n").cast("long").alias("n_words"), F.count("n").alias("rows"), spans.alias("spans"), F.collect_set("whole").alias("wholes"))
-    per_doc = per_doc.select("doc", "n_words", "rows", covered.alias("n_hit"), "wholes")
-    pairs = per_doc.where(F.size("wholes") > 0).select("doc", F.explode("wholes").alias("whole")).join(windows.select("whole", "item_id", *["size"] * (mostly is not None)).distinct(), "whole")
-    ids, mine = F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"), F.lit(False)
-    if mostly is not None:
-        totals = windows.where(F.col("size") == SPAN).groupBy("item_id").agg(F.count("*").alias("total"))
-        pairs = pairs.groupBy("doc", "item_id").agg(F.count(F.when(F.col("size") == SPAN, F.lit(1))).alias("n")).join(totals, "item_id", "left")
-        mine = F.coalesce(F.max(F.col("n") >= mostly * F.col("total")), F.lit(False))
-    named = pairs.groupBy("doc").agg(ids, mine.alias("held"))
+    per_doc = found.groupBy("doc").agg(F.max("n").cast("long").alias("n_words"), F.count("n").alias("rows"), spans.alias("spans")).select("doc", "n_words", "rows", covered.alias("n_hit"))
+    theirs = windows.select("item_id", "size", F.xxhash64("window").alias("whole"))
+    named = found.where("pos is not null").select("doc", "size", "whole").distinct().join(theirs, ["size", "whole"])
+    named = named.groupBy("doc").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"), F.max(F.col("size") == SPAN).alias("held"))
     out = per_doc.select(F.col("doc.doc_id").alias("doc_id"), F.col("doc.hash").alias("hash"), "n_words", "n_hit", "rows")
     named = named.select(F.col("doc.doc_id").alias("d"), F.col("doc.hash").alias("h"), "items", "held")
     out = out.join(named, out["doc_id"].eqNullSafe(named["d"]) & (out["hash"] == named["h"]), "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     # rows that were equal in id and text are as many again
     out = out.select("*", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"))
     n = F.size("items").cast("long")
-    return out.select("doc_id", "hash", "n_words", "n_hit", n.alias("n_items"), "items", ((n >= least_items) | F.coalesce("held", F.lit(False))).alias("contaminated"))
+    return out.select("doc_id", "hash", "n_words", "n_hit", n.alias("n_items"), "items", ((n >= least_items) | (F.coalesce("held", F.lit(False)) & F.lit(alone))).alias("contaminated"))
 
 
 def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -126,11 +134,10 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, least_items: int = 2, mostly: float | None = None) -> DataFrame:
-    """The rows of docs, all columns, that are not contaminated and, with mostly, do not hold that share of an item."""
-    bad = find(docs, items, least_items, mostly).where("contaminated").select(F.col("doc_id").alias("d"), F.col("hash").alias("h")).distinct()
-    marked = docs.withColumn("__h", F.xxhash64("text"))
-    return marked.join(bad, marked["doc_id"].eqNullSafe(bad["d"]) & (marked["__h"] == bad["h"]), "left_anti").select(docs.columns)
+def keep_clean(docs: DataFrame, items: DataFrame, least_items: int = 2, alone: bool = False) -> DataFrame:
+    """The rows of docs, all columns, that are not contaminated."""
+    bad = find(docs, items, least_items, alone).where("contaminated").select(F.col("doc_id").alias("d"), F.col("hash").alias("h")).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["d"]) & (F.xxhash64(docs["text"]) == bad["h"]), "left_anti")
 
 
 ORACLE = r"""

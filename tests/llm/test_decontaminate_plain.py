@@ -8,11 +8,12 @@ def words(text):
 
 
 def contaminated(text, items):
-    w, found = words(text), set()
+    w, found, whole = words(text), set(), False
     grams = {tuple(w[p : p + k]) for k in range(1, 9) for p in range(len(w) - k + 1)}
     for i, t in items:
         v = words(t)
         size = min(8, len(v))
         if size and any(tuple(v[p : p + size]) in grams for p in range(len(v) - size + 1)):
             found.add(i)
-    return len(found) >= 2
+            whole |= size == 8
+    return whole or len(found) >= 2
