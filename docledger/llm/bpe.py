@@ -1,18 +1,20 @@
-"""BPE encoding and decoding with a public tokenizer file, by tree concatenation of long unsplit text.
+"""BPE encoding and decoding with a public tokenizer file, by tree concatenation.
 
-A text is first cut at white space, where the tokenizer itself cuts and drops (``split_space``). A run without
-white space that is longer than LEAF characters is *unsplit*: its halves, quarters and so on down to LEAF are encoded
-as one independent batch, then joined pairwise. At a join a window around it is encoded again and grows until it
-agrees with both sides: at some place on the left, and one on the right, the window and the side hold the same two
-neighbouring tokens, over the same characters, with the same word boundary between them.
+A text is taken as unsplit: its halves, quarters and so on down to LEAF characters, cut wherever the middle falls, are leaves. The leaves of many
+texts are encoded in parallel, THREADS at a time, as one batch; then they are joined pairwise, up to the whole text. At a join a window around the cut is
+encoded again and grows until it agrees with both sides: a *run* (what stands between white space) other than the outermost one must have
+the same tokens in the window and in the side, on the left and on the right, or the window must reach the side's end. Between runs the tokenizer
+itself cuts (``split_space``), so what lies beyond an agreeing run does not change. A leaf's runs are looked up among those that a worker has met.
 
-Agreement makes the join exact. Words are cut by a rule that only looks ahead three characters, so equal cuts stay
+A run of more than LEAF characters, and a whole text where the tokenizer does not cut at white space, has no such places. Its own halves go the same
+way by tokens: at some place on the left, and one on the right, the window and the side must hold the same two
+neighbouring tokens, over the same characters, with the same word boundary between them. Words are cut by a rule that only looks ahead three characters, so equal cuts stay
 equal. Within a word, merges happen in the order of their ranks, so a sequence of tokens is the encoding of its
 text if each two neighbours are the encoding of theirs: the first merge across a boundary would also happen in the
 pair alone. Every pair in the result stands in the encoding of a side or of the window.
 
 Null text is empty; an empty text has no tokens and decodes to an empty text. A row of the input is a row of the
-result, whatever its id. Memory: one text, its tokens, and a cache of at most CACHE short runs.
+result, whatever its id. Memory: texts of CHARS characters or one longer one, their tokens, and a cache of at most CACHE short runs.
 """
 
 from __future__ import annotations
@@ -28,15 +30,19 @@ from pyspark.sql import DataFrame
 
 from docledger.llm.common import small_batches
 
-#: Longest run that is encoded in one piece, in characters.
-LEAF = 256
+#: Most characters of a leaf, of a text and of a run within it.
+LEAF = 2048
+#: Threads that encode the leaves of a batch.
+THREADS = 2
+#: Characters of texts whose leaves make up a batch.
+CHARS = 1 << 20
+#: Characters on either side of a cut that are encoded again first.
+REACH = 24
 #: Short runs whose tokens are remembered in a worker.
 CACHE = 300_000
-#: Runs that are looked up at once.
-PART = 1 << 16
-
 #: The white space of Unicode.
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_LAST_SPACE = re.compile(f"(?s:.*){SPACE.pattern[:-1]}")
 #: What str.split() takes for white space besides.
 NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -66,7 +72,8 @@ class Codec:
     """Encodes and decodes as the tokenizers library does with the file at path, without added special tokens."""
 
     def __init__(self, path: str, split_space: bool, leaf: int = LEAF):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         from tokenizers import Tokenizer, normalizers
 
         self.whole = Tokenizer.from_file(path)
@@ -143,22 +150,76 @@ class Codec:
             return [x for x in SPACE.split(text) if x]
         return text.split()
 
+    def _cuts(self, text: str, lo: int, hi: int) -> list[int]:
+        """Where the leaves of text[lo:hi] end. A run of more than a leaf is a leaf of its own."""
+        if hi - lo <= self.leaf or not self.split_space:
+            return [hi]
+        mid = (lo + hi) // 2
+        after, before = SPACE.search(text, mid, min(hi, mid + self.leaf)), _LAST_SPACE.match(text, max(lo, mid - self.leaf), mid)
+        if not after or not before:  # not within a run of that length
+            after = after or (None if before else SPACE.search(text, mid, hi))
+            before = before or _LAST_SPACE.match(text, lo, mid)
+            if not after and not before:
+                return [hi]
+            mid = after.start() if after else before.end()
+        return self._cuts(text, lo, mid) + self._cuts(text, mid, hi)
+
+    def _tokens(self, runs: list[str]) -> list[bytes]:
+        """Ids of each run; those not met before are encoded as one batch."""
+        missing = [r for r in dict.fromkeys(runs) if r not in self.cache]
+        short = [r for r in missing if len(r) <= self.leaf]
+        for run, e in zip(short, self.whole.encode_batch_fast(short, add_special_tokens=False), strict=True):
+            self.cache[run] = array("I", e.ids).tobytes()
+        if len(short) == len(missing):
+            return [self.cache[r] for r in runs]
+        long = {r: self._run(r) for r in missing if len(r) > self.leaf}
+        return [self.cache[r] if r in self.cache else long[r] for r in runs]
+
+    def _concatenated(self, text: str, left: list, right: list) -> list:
+        """[first character, last character, ids of each run] of two neighbours, made of left. The window grows until it agrees with both."""
+        lo, cut, hi, reach = left[0], left[1], right[1], REACH
+        while True:
+            a, b = max(lo, cut - reach), min(hi, cut + reach)
+            before, after, window = self._runs(text[a:cut]), self._runs(text[cut:b]), self._runs(text[a:b])
+            if (a == lo or len(before) > 2) and (b == hi or len(after) > 2):
+                found = self._tokens(window)
+                # the outermost runs may be parts of longer ones; the next ones must agree
+                if (a == lo or found[1] == left[2][1 - len(before)]) and (b == hi or found[-2] == right[2][len(after) - 2]):
+                    del left[2][len(left[2]) - len(before) + (a > lo) :]
+                    left[2] += found[a > lo : len(found) - (b < hi)]
+                    left[2] += right[2][len(after) - (b < hi) :]
+                    left[1] = hi
+                    return left
+            reach *= 2
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        begin, used = 0, 0
+        for k, t in enumerate(texts):
+            if k > begin and used + len(t or "") > CHARS:
+                yield from self._batch(texts[begin:k])
+                begin, used = k, 0
+            used += len(t or "")
+        yield from self._batch(texts[begin:])
+
+    def _batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        cuts = [self._cuts(t, 0, len(t)) if t else [] for t in texts]
+        leaves = [[self._runs(t[a:b]) for a, b in zip([0, *c], c)] for t, c in zip(texts, cuts, strict=True)]  # noqa: B905
+        found = self._tokens([r for text in leaves for leaf in text for r in leaf])
+        at = 0
+        for text, ends, runs in zip(texts, cuts, leaves, strict=True):
+            parts, lo = [], 0
+            for end, leaf in zip(ends, runs, strict=True):
+                parts.append([lo, end, found[at : at + len(leaf)]])
+                lo, at = end, at + len(leaf)
+            while len(parts) > 1:
+                parts = [self._concatenated(text, *parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+            yield b"".join(parts[0][2]) if parts else b""
+
     def encode(self, text: str | None) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers."""
-        runs, out = self._runs(text or ""), []
-        for k in range(0, len(runs), PART):
-            part, cache = runs[k : k + PART], self.cache
-            if len(cache) > CACHE:
-                cache.clear()
-            long: dict[str, bytes] = {}
-            missing = [r for r in dict.fromkeys(part) if r not in cache]
-            short = [r for r in missing if len(r) <= self.leaf]
-            for run, e in zip(short, self.whole.encode_batch_fast(short, add_special_tokens=False), strict=True):
-                cache[run] = array("I", e.ids).tobytes()
-            if len(short) < len(missing):
-                long = {r: self._run(r) for r in missing if len(r) > self.leaf}
-            out += [cache[r] if r in cache else long[r] for r in part] if long else map(cache.__getitem__, part)
-        return b"".join(out)
+        return next(self.encode_all([text]))
 
     def decode(self, ids: bytes) -> str:
         """Text of such ids, special tokens included."""
@@ -179,7 +240,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches):
         codec = Codec(path, split_space)
         for batch in batches:
-            ids = [codec.encode(x) for x in batch.column(1).to_pylist()]
+            ids = list(codec.encode_all(batch.column(1).to_pylist()))
             columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             names = ["key", "n_tokens", "ids"]
             if decoded:

@@ -67,3 +67,18 @@ def test_rows(spark, sf_dir):
     got = bpe.encode(whole, PATH)
     assert {r.doc_id: ids(bytes(r.ids)) for r in got.collect()} == {r.doc_id: plain(r.text) for r in whole.collect()}
     assert {r.doc_id: r.decoded for r in bpe.decode(got, PATH).collect()} == {r.doc_id: r.decoded for r in got.collect()}
+
+
+def test_a_text_of_many_leaves_is_joined_at_every_cut(monkeypatch):
+    words = LIBRARY.decode(list(range(2000, 6000))).split()
+    text = " ".join(random.Random(5).choice(words) for _ in range(3000))
+    codec, joins = bpe.Codec(PATH, True), []
+    inner = codec._concatenated
+    monkeypatch.setattr(codec, "_concatenated", lambda text, left, right: joins.append(left[1]) or inner(text, left, right))
+    assert ids(codec.encode(text)) == plain(text)
+    assert len(joins) == len(set(joins)) >= len(text) // bpe.LEAF and any(text[k - 1] != " " != text[k] for k in joins)
+    # leaves alone are not the encoding
+    cuts = [0, *sorted(joins), len(text)]
+    assert [i for a, b in zip(cuts, cuts[1:], strict=False) for i in plain(text[a:b])] != plain(text)
+    monkeypatch.setattr(codec, "_concatenated", lambda text, left, right: [left[0], right[1], left[2] + right[2]])
+    assert ids(codec.encode(text)) != plain(text)
