@@ -46,7 +46,7 @@ PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.85, "phone": 0.7, "iban": 0.9, "ssn"
 
 #: Words whose nearness makes a kind likelier, and words that make any kind less likely.
 CONTEXT = {
-    "email": ("mail", "e-mail", "contact", "write", "correo", "courriel"),
+    "email": ("mail", "e-mail", "email", "contact", "write", "correo", "courriel"),
     "ip": ("ip", "host", "server", "address", "login", "adresse"),
     "card": ("card", "visa", "mastercard", "credit", "payment", "tarjeta", "carte", "karte"),
     "phone": ("phone", "call", "tel", "mobile", "fax", "telefon", "téléphone", "teléfono"),
@@ -55,6 +55,14 @@ CONTEXT = {
 }
 DOUBT = ("example", "sample", "test", "dummy", "version", "isbn")
 
+
+def _whole(words: tuple[str, ...]) -> re.Pattern:
+    """Any of the words, not within another one."""
+    return re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, words))})(?!\w)")
+
+
+_LIKELIER, _DOUBTFUL = {kind: _whole(words) for kind, words in CONTEXT.items()}, _whole(DOUBT)
+
 #: Lengths of account numbers by country.
 IBAN_LENGTH = {
     "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21,
@@ -68,6 +76,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_CUT_FIRST, _CUT_LAST = re.compile(r"^\w+"), re.compile(r"\w+$")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 
@@ -145,13 +154,14 @@ FINDERS = {"email": emails, "ip": ips, "card": cards, "phone": phones, "iban": i
 
 
 def score(kind: str, text: str, start: int, end: int, reach: int = 40) -> float:
-    """The prior of the kind, moved by words that stand within reach."""
-    near = f"{text[max(0, start - reach) : start]} {text[end : end + reach]}".lower()
-    value = PRIOR[kind]
-    if any(w in near for w in CONTEXT[kind]):
-        value += 0.25
-    if any(w in near for w in DOUBT):
-        value -= 0.2
+    """The prior of the kind, moved by whole words that stand within reach, whatever their case."""
+    lo, hi = max(0, start - reach), min(len(text), end + reach)
+    # a word that is cut at the end of the reach is none
+    before, after = text[lo:start], text[end:hi]
+    before = _CUT_FIRST.sub("", before) if lo and text[lo - 1].isalnum() else before
+    after = _CUT_LAST.sub("", after) if hi < len(text) and text[hi].isalnum() else after
+    near, value = f"{before} {after}".lower(), PRIOR[kind]
+    value += 0.25 * bool(_LIKELIER[kind].search(near)) - 0.2 * bool(_DOUBTFUL.search(near))
     return round(min(1.0, max(0.0, value)), 4)
 
 
