@@ -15,6 +15,7 @@ Null html is an empty payload, a null url an empty target. Repeated pages give r
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html as entities
 import re
@@ -35,9 +36,12 @@ RECORD = "page_id {key}, kind string, record_id string, refers_to string, target
 BLOCKS = frozenset(
     "address article aside blockquote body br dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
 )
-HIDDEN = ("script", "style", "head", "noscript", "template", "title")
+#: Elements whose text is taken as it stands, up to their own end tag, and those of them that a page may leave open.
+HIDDEN, CODE = ("script", "style", "noscript", "template", "title"), ("script", "style")
+IN_HEAD = frozenset((*HIDDEN, "head", "base", "link", "meta"))
 
 _TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9-]*+)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
+_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in HIDDEN}
 _NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9-]*+)")
 _ATTRIBUTE = re.compile(r"([A-Za-z:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
@@ -53,14 +57,14 @@ class Page:
         self.text = "\n".join(line for line in lines if line)
 
     def _scan(self, text: str) -> None:
-        lower, at, n = None, 0, len(text)
+        at, n, head = 0, len(text), False
         absent: set[str] = set()  # end tags that do not come any more
         while at < n:
             i = text.find("<", at)
             if i < 0:
-                self._pieces.append(text[at:].replace("\n", " "))
+                self._pieces.append("" if head else text[at:].replace("\n", " "))
                 return
-            self._pieces.append(text[at:i].replace("\n", " "))
+            self._pieces.append("" if head else text[at:i].replace("\n", " "))
             if text.startswith("<!--", i):
                 j = text.find("-->", i + 4)
                 if j < 0:
@@ -79,7 +83,7 @@ class Page:
             else:
                 m = _NAME.match(text, i)
                 if not m:
-                    self._pieces.append("<")
+                    self._pieces.append("" if head else "<")
                     at = i + 1
                     continue
                 end = text.find(">", i) + 1
@@ -90,20 +94,18 @@ class Page:
             at = end
             if not closing:
                 self._open(name, inside)
-                if name in ("script", "style", "noscript", "template", "title") and name not in absent:
-                    lower = text.lower() if lower is None else lower
-                    j = lower.find(f"</{name}", end) if len(lower) == n else -1
-                    if j < 0 and len(lower) != n:  # lower case of another length: look for the spelling itself
-                        found = re.compile(f"</{name}", re.I).search(text, end)
-                        j = found.start() if found else -1
-                    if j < 0:
+                if name in HIDDEN and name not in absent:
+                    end_tag = _END[name].search(text, end)
+                    if not end_tag:
                         absent.add(name)
-                        if name in ("script", "style"):
+                        if name in CODE:
                             return
                     else:
                         if name == "title" and not self.title:
-                            self.title = " ".join(entities.unescape(text[end:j]).split())
-                        at = text.find(">", j) + 1 or n
+                            self.title = " ".join(entities.unescape(text[end : end_tag.start()]).split())
+                        at = text.find(">", end_tag.end()) + 1 or n
+            # the head goes on to its end, or to the first element that is none of a head's
+            head = not closing and (name == "head" or (head and name in IN_HEAD)) or (closing and head and name != "head")
             if name in BLOCKS:
                 self._pieces.append("\n")
 
@@ -226,16 +228,33 @@ def parse(data: bytes) -> Iterator[tuple[dict, bytes]]:
         at = stop + 4
 
 
-def write(records: DataFrame, folder: str) -> None:
-    """Files of records in folder, gzip each, by Spark's own writer: the blocks must be UTF-8, as those made here are."""
+def members(records: DataFrame) -> DataFrame:
+    """member: each record's bytes as a gzip member of its own, which ends with a zero byte."""
+
+    def packed(data: bytes) -> bytes:
+        # a member ends with the length of what it holds; beyond 16 MiB an empty member, which ends with zeros, follows
+        return gzip.compress(data, mtime=0) + (gzip.compress(b"", mtime=0) if len(data) >> 24 else b"")
 
     def run(batches):
         for b in batches:
             rows = [{**r, "headers": dict(r["headers"] or ())} for r in b.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([serialised(r)[:-4].decode() for r in rows], pa.string())], names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array([packed(serialised(r)) for r in rows], pa.binary())], names=["member"])
 
-    names = [x.split()[0] for x in RECORD.split(", ")]
-    records.select(*names).mapInArrow(run, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
+    return records.select(*[x.split()[0] for x in RECORD.split(", ")]).mapInArrow(run, "member binary")
+
+
+def write(records: DataFrame, folder: str) -> None:
+    """Files of records in folder, a gzip member for each record, by Spark's own writer: lost tasks leave no parts of files."""
+    spark = records.sparkSession
+    # the zero byte at the end of each member is what the writer puts after a line
+    lines = members(records).select(F.expr("cast(substring(member, 1, length(member) - 1) as string)").alias("value"))
+    lines.write.option("lineSep", "\0").text(folder)
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.listStatus(top):
+        name = found.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(found.getPath(), spark._jvm.org.apache.hadoop.fs.Path(top, name.removesuffix(".txt") + ".warc.gz"))
 
 
 def digest(pages: DataFrame) -> DataFrame:

@@ -87,3 +87,30 @@ def test_edge_rows(spark):
     assert Counter((r.page_id, r.kind) for r in got) == Counter({(1, "metadata"): 2, (1, "conversion"): 2, (None, "metadata"): 1, (None, "conversion"): 1, (2, "metadata"): 1, (2, "conversion"): 1})
     assert [r.n_bytes for r in got if r.kind == "conversion"] == [1, 1, 0, 0]
     assert warc.digest(pages.limit(0)).count() == 0
+
+
+def test_each_record_is_a_member(spark, tmp_path):
+    import zlib
+
+    pages = spark.createDataFrame([(1, "http://a", "<p>x"), (2, "http://b", "y" * (17 << 20)), (3, None, None)], "page_id long, url string, html string")
+    warc.write(warc.responses(pages).coalesce(1), str(tmp_path / "out"))
+    (file,) = (tmp_path / "out").glob("*.warc.gz")
+    data, kinds = file.read_bytes(), []
+    while data:
+        one = zlib.decompressobj(31)
+        text = one.decompress(data)
+        assert one.eof
+        kinds.append(len(list(warc.parse(text))))
+        data = one.unused_data
+    assert sum(kinds) == 3 and max(kinds) == 1
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("<head>stray<title>t</title>more</head>body", "body"), ("<head>a<meta x=y>b<p>c", "c"), ("<html><head><body>x", "x"), ("a<script>x</scripty>'; yz</script>b", "ab"), ("<title>t</titles></title >b", "b"),
+        ("<head></head>a<title>t</title>b", "ab"),
+    ],
+)
+def test_heads_and_ends_of_scripts(text, want):
+    assert warc.Page(text).text == want
