@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger import ids
+from docledger.lineage import written
 from docledger.operators import views
 from docledger.planning import contracts
 from docledger.sources import packages
@@ -42,20 +44,64 @@ def artifacts(documents: DataFrame) -> DataFrame:
     return out.where("error_type is null").select("doc", F.to_json(record, {"ignoreNullFields": "false"}).alias("artifact"))
 
 
-def extract(spark: SparkSession, path: str) -> dict:
-    """The artifact of one package."""
-    import json
-
+def extract(spark: SparkSession, path: str, *, with_assets: bool = False):
+    """The artifact of one package; with_assets: also the bytes of its assets by file name."""
     documents = packages.read(spark, path, "*").persist()
     try:
         found = documents.select("error_type", "error").first()
         if found is None or found.error_type:
             raise ValueError(found.error if found else f"no file at {path}")
-        return json.loads(artifacts(documents).first().artifact)
+        artifact = json.loads(artifacts(documents).first().artifact)
+        if not with_assets:
+            return artifact
+        rows = packages.table(documents, "assets").select("asset_id", "extension", "data").dropDuplicates(["asset_id"])
+        return artifact, {r.asset_id + r.extension: bytes(r.data) for r in rows.toLocalIterator()}  # one package's
     finally:
         documents.unpersist()
 
 
+#: The shape of an artifact: what each list's rows must hold, and of which kind.
+_TEXT, _NUMBER = (str,), (int,)
+SHAPE = {
+    "assets": {"asset_id": _TEXT, "sha256": _TEXT},
+    "blocks": {"block_id": _TEXT},
+    "caption_links": {"caption_id": _TEXT},
+    "coverage": {"feature": _TEXT, "source": _NUMBER, "extracted": _NUMBER, "diagnosed": _NUMBER, "silent": _NUMBER},
+    "diagnostics": {"code": _TEXT, "severity": _TEXT, "message": _TEXT},
+    "evidence": {"evidence_id": _TEXT},
+    "nodes": {"node_id": _TEXT, "kind": _TEXT, "part_name": _TEXT, "xml_path": _TEXT, "sequence": _NUMBER},
+    "parts": {"part_name": _TEXT},
+    "relationships": {"relationship_id": _TEXT, "type": _TEXT},
+    "sections": {"section_id": _TEXT, "level": _NUMBER},
+}
+DOCUMENT = {"doc_id": _TEXT, "filename": _TEXT, "sha256": _TEXT}
+
+
+def misshapen(artifact) -> list[str]:
+    """What keeps a JSON value from being an artifact."""
+    if not isinstance(artifact, dict):
+        return ["it is not an object"]
+    out = [f"{name} is missing" for name in (*SHAPE, "document", "inventory", "schema_version", "extractor_version") if name not in artifact]
+
+    def wrong(at: str, row, fields: dict) -> list[str]:
+        if not isinstance(row, dict):
+            return [f"{at} is not an object"]
+        return [f"{at}.{k} is not {kinds[0].__name__}" for k, kinds in fields.items() if type(row.get(k)) not in kinds]
+
+    for name, fields in SHAPE.items():
+        rows = artifact.get(name)
+        if rows is not None and not isinstance(rows, list):
+            out.append(f"{name} is not a list")
+        out += [x for k, row in enumerate(rows if isinstance(rows, list) else ()) for x in wrong(f"{name}[{k}]", row, fields)]
+    out += wrong("document", artifact.get("document"), DOCUMENT) if "document" in artifact else []
+    if "schema_version" in artifact and artifact["schema_version"] != SCHEMA_VERSION:
+        out.append(f"schema_version is not {SCHEMA_VERSION}")
+    ids_seen = [n["node_id"] for n in artifact.get("nodes") or () if isinstance(n, dict) and "node_id" in n]
+    if len(set(ids_seen)) < len(ids_seen):
+        out.append("nodes share an id")
+    return out
+
+
 def canonical_json(artifact: dict) -> str:
     return ids.canonical(artifact)
 
@@ -66,21 +112,24 @@ def failed(artifact: dict) -> bool:
 
 
 def write_corpus(documents: DataFrame, folder: str) -> dict:
-    """Every list of documents as a Parquet table below folder, content-addressed assets once each, artifacts as JSON lines; the manifest of what was written."""
+    """Every list of documents as a Parquet table below folder, content-addressed assets once each, artifacts as JSON lines, and the manifest as a table with a row for each document; the corpus's id and the manifest's folder.
+
+    Packages are parsed once: what was read of them is written first and read back for everything else.
+    """
     spark = documents.sparkSession
+    documents = written(documents)
     for name in packages.LISTS:
         rows = packages.table(documents, name)
         (rows.drop("data") if name == "assets" else rows).write.mode("overwrite").parquet(f"{folder}/{name}")
     assets = packages.table(documents, "assets").groupBy("asset_id").agg(F.first("extension").alias("extension"), F.first("data").alias("data"))
     assets.write.mode("overwrite").parquet(f"{folder}/asset_data")
     artifacts(documents).write.mode("overwrite").json(f"{folder}/artifacts")
-    states = views.health(documents)
-    states.write.mode("overwrite").parquet(f"{folder}/health")
-    rows = states.where("state != 'failed'").orderBy("doc").select("doc_id", "filename", "doc", "state")
-    manifest = {"corpus_id": f"corpus-{uuid.uuid4().hex}", "documents": [{"doc_id": r.doc_id, "filename": r.filename, "artifact_uri": f"{folder}/artifacts#{r.doc}", "health": r.state} for r in rows.collect()]}
-    manifest = contracts.MANIFEST(manifest)
-    spark.createDataFrame([(ids.canonical(manifest),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/manifest")
-    return manifest
+    views.health(documents).write.mode("overwrite").parquet(f"{folder}/health")
+    corpus = f"corpus-{uuid.uuid4().hex}"
+    states = spark.read.parquet(f"{folder}/health").where("state != 'failed'")
+    manifest = states.select(F.lit(corpus).alias("corpus_id"), "doc_id", "filename", F.concat(F.lit(f"{folder}/artifacts#"), "doc").alias("artifact_uri"), F.col("state").alias("health"))
+    manifest.write.mode("overwrite").json(f"{folder}/manifest")
+    return {"corpus_id": corpus, "manifest": f"{folder}/manifest"}
 
 
 def classify(assets: DataFrame, classifier, cache: DataFrame | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests, one machine) a temporary one is set first."""
+    """The folder of spark.checkpoint.dir; where that is unset and all runs in one process (tests) a temporary one is set first."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found:
@@ -18,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
         return found
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir is unset: a folder that the driver and all executors share is needed on a cluster")
     made = tempfile.mkdtemp(prefix="docledger-")
     spark.sparkContext.setCheckpointDir(made)
     return made

@@ -123,6 +123,13 @@ def test_artifacts_repeat_to_the_byte_and_the_command_line_tells(spark, folder,
     artifact = json.loads(one.read_text())
     assert artifact["document"]["filename"] == "a.docx" and artifact["extractor_version"] == "0.2.0"
     assert cli.run(["validate", str(one)]) == 0
+    for spoiled in ({k: v for k, v in artifact.items() if k != "nodes"}, {**artifact, "document": {}}, {**artifact, "nodes": artifact["nodes"] * 2}, {**artifact, "schema_version": "0"}, []):
+        two.write_text(json.dumps(spoiled))
+        with pytest.raises(SystemExit):
+            cli.run(["validate", str(two)])
+    log = tmp_path / "log.json"
+    assert cli.run(["extract", str(folder / "a.docx"), "--output", str(tmp_path / 'a "b".json'), "--log-file", str(log), "--log-json"], spark) == 0
+    assert all(json.loads(line)["level"] == "INFO" for line in log.read_text().splitlines())
     lost = copy.deepcopy(artifact)
     lost["coverage"][0]["silent"] = 1
     one.write_text(json.dumps(lost))
@@ -135,7 +142,8 @@ def test_artifacts_repeat_to_the_byte_and_the_command_line_tells(spark, folder,
 def test_corpora_manifests_and_classification(spark, folder, tmp_path):
     documents = packages.read(spark, str(folder))
     manifest = api.write_corpus(documents, str(tmp_path / "c"))
-    assert [d["filename"] for d in manifest["documents"]] == ["a.docx", "b.docx"]
+    rows = spark.read.json(manifest["manifest"]).orderBy("filename").collect()
+    assert [(d.filename, d.corpus_id, d.health) for d in rows] == [("a.docx", manifest["corpus_id"], rows[0].health), ("b.docx", manifest["corpus_id"], rows[1].health)]
     assert spark.read.parquet(str(tmp_path / "c" / "nodes")).count() == packages.table(documents, "nodes").count()
 
     class Classifier:
