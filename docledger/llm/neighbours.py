@@ -1,14 +1,16 @@
 """Approximate nearest neighbours by cross-polytope hashing: largest inner products.
 
 A vector of unit length is turned by a pseudo-rotation (three rounds of random signs and a fast Hadamard transform, in
-the next power of two of dimensions); its hash is the signed axis it then lies nearest to. There are TABLES such tables. A query
-looks into the SHARE of the buckets, of all tables, whose axes its own turned vectors lie nearest to, and every candidate there is
-ranked by the inner product of the vectors as they were given, in double precision. Vectors of different lengths
+the next power of two of dimensions); its hash is the signed axis it then lies nearest to. A table concatenates AXES = 2 such hashes, so 64 dimensions give
+16,384 buckets a table; there are TABLES. A query looks, in each table, into the buckets whose axes its own turned vectors lie nearest to, added up,
+and every candidate there is ranked by the inner product of the vectors as they were given, in double precision. The share of a table's
+buckets that is looked into falls with the number of vectors n as n^(-1/4): nearest neighbours draw nearer as vectors become more. It is never less than what
+FEW vectors fill, so that few are searched whole. Vectors of different lengths
 are brought to the unit sphere by one more dimension, which keeps the order of inner products with any query.
 
-Recall at 20 on unit vectors of 64 dimensions that are scattered evenly, the hardest case, is 0.94 among 500 and 0.98
-among 10,000 with the defaults, at the price of seeing two thirds of them; vectors in clusters are found more surely,
-and a smaller share does for them. Buckets are dealt out in blocks of at most BLOCK vectors and BLOCK queries, whatever their size.
+Unit vectors of 64 dimensions that are scattered evenly are the hardest case: a query sees 39 % of 2,000 of them, 29 % of 10,000, 25 % of 20,000 and 18 % of 100,000 for a recall at 20
+of 0.94 to 0.95. Vectors in clusters are found more surely, and a smaller share does for them. Buckets are dealt by the first axis, GROUPS of neighbouring
+axes to a group: a query's vector goes to each group it looks into once, at most TABLES * GROUPS copies. Groups are dealt out in blocks of at most BLOCK vectors and BLOCK queries, whatever their size.
 
 Equal vectors: only the K + 1 smallest ids of each are candidates, since no query can return more; equal queries are
 searched once. Rows that are null, zero, empty, or hold null or non-finite components, and rows without an id,
@@ -24,12 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.lineage import cut
-from docledger.llm.common import small_batches
 
 K = 20
-TABLES = 4
-#: Share of all buckets that a query looks into: with vectors scattered evenly nothing less finds nine in ten.
-SHARE = 0.25
+TABLES, AXES = 4, 2
+#: Share of a table's buckets that a query looks into is SHARE * n ** -0.25 of n vectors, and what FEW vectors fill at least.
+SHARE, FEW = 0.8, 64
+GROUPS = 8
+#: Most coordinates of either axis that are added up to find the limit of a query's share; of more, evenly many of their order.
+SIDES = 256
 BLOCK = 4096
 SEED = 20
 
@@ -67,21 +71,34 @@ def sphere(vectors: np.ndarray, reach: float, even: bool, query: bool) -> np.nda
     return np.pad(unit, ((0, 0), (0, width(unit.shape[1]) - unit.shape[1])))
 
 
-def axes(unit: np.ndarray) -> np.ndarray:
-    """The signed axis nearest to each row, in each table."""
+def _signed(unit: np.ndarray, table: int) -> list[np.ndarray]:
+    """How near each row lies to each signed axis, for each of the hashes of a table."""
+    return [np.concatenate([y, -y], axis=1) for y in (turned(unit, table * AXES + k) for k in range(AXES))]
+
+
+def codes(unit: np.ndarray, table: int) -> np.ndarray:
+    """The bucket of each row in a table: its nearest signed axes."""
+    first, second = (near.argmax(1) for near in _signed(unit, table))
+    return first * 2 * unit.shape[1] + second
+
+
+def limits(first: np.ndarray, second: np.ndarray, share: float) -> np.ndarray:
+    """How near a bucket must lie to each row to be among its share of the nearest ones."""
+
+    def some(near: np.ndarray) -> np.ndarray:
+        near = np.sort(near, axis=1)
+        return near if near.shape[1] <= SIDES else near[:, np.linspace(0, near.shape[1] - 1, SIDES).round().astype(int)]
+
     out = []
-    for t in range(TABLES):
-        y = turned(unit, t)
-        at = np.abs(y).argmax(1)
-        out.append(t * 2 * y.shape[1] + at + y.shape[1] * (y[np.arange(len(y)), at] < 0))
-    return np.stack(out, axis=1)
+    for k in range(0, len(first), 64):
+        total = (some(first[k : k + 64])[:, :, None] + some(second[k : k + 64])[:, None, :]).reshape(len(first[k : k + 64]), -1)
+        count = max(1, min(total.shape[1], round(share * total.shape[1])))
+        out.append(np.partition(total, total.shape[1] - count, axis=1)[:, total.shape[1] - count])
+    return np.concatenate(out) if out else np.zeros(0)
 
 
-def probes(unit: np.ndarray, share: float) -> np.ndarray:
-    """The signed axes, of all tables, nearest to each row."""
-    near = np.concatenate([np.c_[y, -y] for y in (turned(unit, t) for t in range(TABLES))], axis=1)
-    count = max(1, min(near.shape[1], round(share * near.shape[1])))
-    return np.argpartition(-near, count - 1, axis=1)[:, :count]
+def share_of(n: int) -> float:
+    return min(1.0, max(SHARE * n**-0.25, FEW / n)) if n else 1.0
 
 
 def _matrices(lists: pa.Array):
@@ -92,40 +109,44 @@ def _matrices(lists: pa.Array):
         yield int(d), at, lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
 
 
-def _placed(rows: DataFrame, spread: dict[int, tuple[float, bool]], share: float | None) -> DataFrame:
-    """id, v and bucket: the buckets a row lies in or, with share, those it looks into."""
+def _placed(rows: DataFrame, spread: dict[int, tuple[float, bool, int]], asking: bool, share) -> DataFrame:
+    """id, v, bucket (a group of a table), and code: the bucket a row lies in within it; if asking, the groups it looks into and limit: how near its buckets lie."""
     kind = rows.schema["v"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for d, at, matrix in _matrices(batch.column(1)):
-                reach, even = spread[d]
-                found = []
+                reach, even, n = spread[d]
                 for k in range(0, len(matrix), 1024):
-                    unit = sphere(matrix[k : k + 1024], reach, even, share is not None)
-                    found.append(axes(unit) if share is None else probes(unit, share))
-                buckets = np.concatenate(found)
-                again = pa.array(np.repeat(at, buckets.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(again), batch.column(1).take(again), pa.array((d << 32) + buckets.reshape(-1).astype(np.int64))], names=["id", "v", "bucket"])
-
-    return rows.select("id", "v").mapInArrow(run, f"id long, v {kind}, bucket long")
-
-
-def best(queries: np.ndarray, q: np.ndarray, candidates: np.ndarray, c: np.ndarray, k: int):
-    """Query id, candidate id and score of the k best candidates of each query, ties to the smaller id."""
-    for at in range(0, len(q), 512):
-        rough = q[at : at + 512] @ c.T
-        if rough.shape[1] > k:
-            limit = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
-            i, j = np.nonzero(rough >= (limit - 1e-9 * (1 + np.abs(limit)))[:, None])
-        else:
-            i, j = (x.reshape(-1) for x in np.indices(rough.shape))
-        exact = np.add.reduce(q[at + i] * c[j], axis=1)  # the same for equal vectors, wherever they stand
-        order = np.lexsort((candidates[j], -exact, i))
-        i, j, exact = i[order], j[order], exact[order]
-        rank = np.arange(len(i)) - np.searchsorted(i, i)
-        keep = rank < k
-        yield queries[at + i[keep]], candidates[j[keep]], exact[keep]
+                    unit = sphere(matrix[k : k + 1024], reach, even, asking)
+                    per = -(-2 * unit.shape[1] // GROUPS)  # axes of a group
+                    for t in range(TABLES):
+                        if asking:
+                            first, second = _signed(unit, t)
+                            limit = limits(first, second, share(n))
+                            most = np.maximum.reduceat(first, np.arange(0, first.shape[1], per), axis=1) + second.max(1)[:, None]
+                            row, group = np.nonzero(most >= limit[:, None])
+                            value = pa.array(limit[row])
+                        else:
+                            code = codes(unit, t)
+                            row, group, value = np.arange(len(unit)), code // (2 * unit.shape[1]) // per, pa.array(code.astype(np.int64))
+                        taken = pa.array(at[k + row])
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array((d << 32) + t * GROUPS + group.astype(np.int64)), value], names=["id", "v", "bucket", "limit" if asking else "code"])
+
+    return rows.select("id", "v").mapInArrow(run, f"id long, v {kind}, bucket long, " + ("limit double" if asking else "code long"))
+
+
+def best(queries: np.ndarray, q: np.ndarray, looks: np.ndarray, candidates: np.ndarray, c: np.ndarray, bucket: np.ndarray, k: int):
+    """Query id, candidate id and score of the k best candidates of each query, ties to the smaller id. looks: whether a query looks into a bucket; bucket: each candidate's."""
+    for i in range(len(q)):
+        mine = np.flatnonzero(looks[i][bucket])
+        rough = c[mine] @ q[i]
+        if len(mine) > k:
+            limit = -np.partition(-rough, k - 1)[k - 1]
+            mine = mine[rough >= limit - 1e-9 * (1 + abs(limit))]
+        exact = np.add.reduce(q[i] * c[mine], axis=1)  # the same for equal vectors, wherever they stand
+        order = np.lexsort((candidates[mine], -exact))[:k]
+        yield np.full(len(order), queries[i]), candidates[mine[order]], exact[order]
 
 
 def clean(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -138,38 +159,42 @@ def clean(rows: DataFrame, key: str, vector: str) -> DataFrame:
     return rows
 
 
-def search(rows: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = K, share: float = SHARE) -> DataFrame:
-    """query_id, rank, vec_id, score of the k nearest found of each row for which is_query (a condition on column id) holds."""
-    small_batches(rows.sparkSession, 4096)
+def search(rows: DataFrame, is_query, key: str = "vec_id", vector: str = "embedding", k: int = K, share=share_of) -> DataFrame:
+    """query_id, rank, vec_id, score of the k nearest found of each row for which is_query (a condition on column id) holds. share: of a table's buckets, by the number of vectors."""
     rows = clean(rows, key, vector)
     size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    spread = {r.d: (r.far, r.near >= r.far * (1 - 1e-4)) for r in rows.groupBy(F.size("v").alias("d")).agg(F.max(size).alias("far"), F.min(size).alias("near")).collect()}
+    spread = {r.d: (r.far, r.near >= r.far * (1 - 1e-4), r.n) for r in rows.groupBy(F.size("v").alias("d")).agg(F.max(size).alias("far"), F.min(size).alias("near"), F.count("*").alias("n")).collect()}
     same = Window.partitionBy("v").orderBy("id")
     candidates = rows.withColumn("n", F.row_number().over(same)).where(F.col("n") <= k + 1).drop("n")
     asked = rows.where(is_query)
     heads = asked.groupBy("v").agg(F.min("id").alias("id"))
 
-    index, looks = cut(_placed(candidates, spread, None)), cut(_placed(heads, spread, share))
-    # rows of these two are the axes of the tables: their number depends on the dimensions alone
+    index, looks = cut(_placed(candidates, spread, False, share)), cut(_placed(heads, spread, True, share))
+    # rows of these two are the groups of the tables: their number depends on that of dimensions alone
     inside = index.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     asking = looks.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     both = F.broadcast(inside.join(asking, "bucket"))
 
-    def dealt(side: DataFrame, mine: str, other: str, into: str, across: str) -> DataFrame:
+    def dealt(side: DataFrame, mine: str, other: str, into: str, across: str, value: str) -> DataFrame:
         out = side.join(both, "bucket").withColumn(into, F.pmod(F.xxhash64("id"), F.col(mine)).cast("int"))
-        return out.select("bucket", "id", "v", into, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(across))
+        return out.select("bucket", "id", "v", value, into, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(across))
 
-    left = dealt(index, "blocks", "parts", "block", "part").groupBy("bucket", "block", "part")
-    right = dealt(looks, "parts", "blocks", "part", "block").groupBy("bucket", "block", "part")
+    left = dealt(index, "blocks", "parts", "block", "part", "code").groupBy("bucket", "block", "part")
+    right = dealt(looks, "parts", "blocks", "part", "block", "limit").groupBy("bucket", "block", "part")
 
     def meet(c: pa.Table, q: pa.Table) -> pa.Table:
         parts = []
         if len(c) and len(q):
-            matrices = [next(_matrices(t["v"].combine_chunks()))[2] for t in (q, c)]
-            ids = [t["id"].to_numpy() for t in (q, c)]
-            parts = list(best(ids[0], matrices[0], ids[1], matrices[1], k + 1))
+            (d, _, asking), (_, _, there) = (next(_matrices(t["v"].combine_chunks())) for t in (q, c))
+            table = (q["bucket"][0].as_py() & 0xFFFFFFFF) // GROUPS
+            unit = sphere(asking, *spread[d][:2], True)
+            first, second = _signed(unit, table)
+            known, bucket = np.unique(c["code"].to_numpy(), return_inverse=True)
+            one, two = np.divmod(known, 2 * unit.shape[1])
+            looks = first[:, one] + second[:, two] >= q["limit"].to_numpy()[:, None] - 1e-12
+            parts = list(best(q["id"].to_numpy(), asking, looks, c["id"].to_numpy(), there, bucket, k + 1))
         a, b, s = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table({"head": a, "vec_id": b, "score": s})
+        return pa.table({"head": a.astype(np.int64), "vec_id": b, "score": s})
 
     met = left.cogroup(right).applyInArrow(meet, "head long, vec_id long, score double")
     order = [F.desc("score"), F.asc("vec_id")]

@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from docledger.llm import neighbours
 
 
@@ -68,3 +69,29 @@ def test_copies_are_exact_and_hostile_rows_take_no_part(spark):
     assert got[620] == [(640, 7.0)] and got[640] == [(620, 7.0)]
     assert set(got) == set(want) | {620, 640}
     assert neighbours.digest(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 21, 30, 60])
+def test_few_vectors_are_all_found(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(n, 64)))]
+    got, want = found(neighbours.digest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))), brute(rows)
+    assert {q: [v for v, _ in w] for q, w in got.items()} == {q: [v for v, _ in w] for q, w in want.items() if w}
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000, 100_000])
+def test_recall_holds_while_the_share_falls(n):
+    """Of evenly scattered unit vectors, by the buckets of the search itself."""
+    x = np.random.default_rng(7).normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    q, seen = x[:50], np.zeros((50, n), bool)
+    share = neighbours.share_of(n)
+    for t in range(neighbours.TABLES):
+        first, second = neighbours._signed(q, t)
+        one, two = np.divmod(neighbours.codes(x, t), 128)
+        seen |= first[:, one] + second[:, two] >= neighbours.limits(first, second, share)[:, None]
+    score = q @ x.T
+    score[np.arange(50), np.arange(50)] = -2
+    top = np.argpartition(-score, 20, axis=1)[:, :20]
+    assert np.take_along_axis(seen, top, 1).mean() >= 0.9
+    assert seen.mean() <= {2_000: 0.42, 20_000: 0.28, 100_000: 0.2}[n]
