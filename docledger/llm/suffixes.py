@@ -3,10 +3,8 @@
 A text is bytes that hold SEPARATOR after every piece, and nowhere else (UTF-8 never holds it). A suffix is of type S if it
 is smaller than the next one, else L; the leftmost S suffixes of each run, LMS, sort all others. Their substrings
 are sorted by inducing, equal ones share a name, and the string of names, whose alphabet is about as long as itself,
-is ordered by doubling its prefixes, each step a sort of whole arrays. Inducing takes the buckets of the 256 bytes in turn; a bucket's
+is ordered by doubling its prefixes, each step a sort of those that are not told apart yet. Inducing takes the buckets of the 256 bytes in turn; a bucket's
 suffixes are placed at once, and once more for each repetition of its byte.
-
-Suffixes that agree over DEPTH names and more, at least 2 * DEPTH bytes, keep the order of their places.
 """
 
 from __future__ import annotations
@@ -14,7 +12,6 @@ from __future__ import annotations
 import numpy as np
 
 SEPARATOR = 0xFF
-DEPTH = 256
 
 
 def types(text: np.ndarray) -> np.ndarray:
@@ -110,24 +107,26 @@ def _names(text: np.ndarray, small: np.ndarray, lms: np.ndarray, order: np.ndarr
 
 
 def _ordered(names: np.ndarray) -> np.ndarray:
-    """Suffixes of the names, sorted by up to DEPTH of them."""
+    """Suffixes of the names in their order. A rank is the place of the first suffix that agrees so far; only suffixes whose rank others share are sorted again, each time by twice as many names."""
     n = len(names)
-    rank, step = names, 1
-    order = np.argsort(rank, kind="stable")
-    if not n or rank.max() == n - 1:
-        return order
-    while step < DEPTH:
-        after = np.zeros(n, np.int64)
-        after[: n - step] = rank[step:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        ranked = key[order]
-        fresh = np.empty(n, np.int64)
-        fresh[order] = np.cumsum(np.r_[False, ranked[1:] != ranked[:-1]])
-        if fresh.max() == n - 1:
-            break
-        rank, step = fresh, step * 2
-    return order
+    order = np.argsort(names, kind="stable")
+    ranked = names[order]
+    first = np.r_[True, ranked[1:] != ranked[:-1]]
+    rank = np.empty(n + 1, np.int64)
+    rank[n] = -1  # what follows the last one is smaller than all
+    step = 1
+    while True:
+        rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+        open_ = np.flatnonzero(~(first & np.r_[first[1:], True]))  # places in order whose suffix shares its rank
+        if not len(open_):
+            return order
+        mine = order[open_]
+        group, after = rank[mine], rank[np.minimum(mine + step, n)]
+        sort = np.lexsort((after, group))
+        mine, group, after = mine[sort], group[sort], after[sort]
+        order[open_] = mine
+        first[open_] = np.r_[True, (group[1:] != group[:-1]) | (after[1:] != after[:-1])]
+        step *= 2
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:

@@ -43,3 +43,10 @@ def test_long_texts():
     for w in windows:
         seen[w] = seen.get(w, 0) + 1
     assert got.tolist() == [len(w) == 200 and b"\xff" not in w and seen[w] > 1 for w in windows]
+
+
+def test_order_of_long_repeats():
+    rng = random.Random(3)
+    part = bytes(rng.choice(b"ab") for _ in range(700))
+    raw = part * 4 + b"\xff" + part * 3 + b"\xff" + b"ab" * 1500 + b"\xff"
+    assert suffixes.suffix_array(np.frombuffer(raw, np.uint8)).tolist() == sorted(range(len(raw)), key=lambda k: raw[k:])
