@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docledger.llm.common import small_batches
+from docledger.llm.common import sliced
 
 #: Most characters of a leaf, of a text and of a run within it.
 LEAF = 2048
@@ -234,12 +234,11 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     split_space: the tokenizer of that file drops white space and never joins across it.
     """
-    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         codec = Codec(path, split_space)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = list(codec.encode_all(batch.column(1).to_pylist()))
             columns = [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             names = ["key", "n_tokens", "ids"]
@@ -254,12 +253,11 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
 def decode(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """key and the decoded text of ids; null ids are empty."""
-    small_batches(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches):
         codec = Codec(path, True)
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.decode(x or b"") for x in batch.column(1).to_pylist()], pa.string())], names=["key", "decoded"])
 
     return rows.select(rows[key].alias("key"), rows[ids].alias("ids")).mapInArrow(run, f"key {kind}, decoded string").withColumnRenamed("key", key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that go to a Python worker at once: texts may be long, and two workers share an executor's memory.
+#: Rows that a Python worker turns into results at once: texts may be long, and two workers share an executor's memory.
 BATCH_ROWS = 256
 
 
@@ -13,10 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep what one Arrow batch holds bounded, in rows and in bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+def sliced(batches, rows: int = BATCH_ROWS):
+    """Arrow batches, which Spark bounds in bytes, in slices of few rows: what is made of one at a time, and sent back, is bounded too."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
 
 
 def ascii_lower(column):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.lineage import cut
-from docledger.llm.common import small_batches
+from docledger.llm.common import sliced
 from docledger.llm.components import components
 
 SHINGLE = 4
@@ -73,11 +73,10 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """key and fp (a long with the fingerprint's bits) of each row."""
-    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             found = np.array([fingerprint(t, shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["key", "fp"])
 
@@ -118,7 +117,7 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     pieces = dealt.groupBy("list", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).agg(F.collect_list("fp").alias("fps"))
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             lists = batch.column(0)
             values, ends = lists.flatten().to_numpy(), np.cumsum(np.diff(lists.offsets.to_numpy()))
             pairs = [p for part in np.split(values, ends[:-1]) for p in forest(part, bits)] if len(lists) else []

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from docledger.lineage import written
 from docledger.llm import suffixes
-from docledger.llm.common import small_batches
+from docledger.llm.common import sliced
 
 SIZE = 200
 GRAM = 32
@@ -105,7 +105,7 @@ def _scan(key_type: pa.DataType):
     from xxhash import xxh64_intdigest
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             for parts in _chunks(texts):
                 raw = b"".join(p for _, _, p in parts)
@@ -136,7 +136,7 @@ def _fetch(keyed: DataFrame, spots: DataFrame, kind: str) -> DataFrame:
     joined = keyed.join(s, keyed["d"].eqNullSafe(s["sd"]) & (keyed["t"] == s["st"])).select("d", "t", "text", "wanted")
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             texts, wanted = batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()
             for lo in range(0, len(texts), 32):
                 found = [(k, w, texts[k][w["at"] : w["at"] + w["n"]]) for k in range(lo, min(lo + 32, len(texts))) for w in wanted[k]]
@@ -178,7 +178,7 @@ def _windows(pieces: DataFrame, kind: str) -> DataFrame:
     def run(batches):
         from xxhash import xxh3_128_digest
 
-        for batch in batches:
+        for batch in sliced(batches):
             for k, piece in enumerate(batch.column(6).to_pylist()):
                 n = len(piece) - SIZE + 1
                 codes = np.frombuffer(b"".join(xxh3_128_digest(piece[p : p + SIZE]) for p in range(n)), np.int64).reshape(-1, 2)
@@ -195,8 +195,6 @@ def _windows(pieces: DataFrame, kind: str) -> DataFrame:
 
 def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """d (key), t (hash of the text), s, e: bytes that go, in spans that may overlap."""
-    spark = docs.sparkSession
-    small_batches(spark)
     kind = docs.schema[key].dataType.simpleString()
     keyed = _keyed(docs, key, text)
     found = written(keyed.mapInArrow(_scan(None), f"d {kind}, t long, at long, n int, anchor long, content long"))
@@ -237,7 +235,7 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     joined = keyed.join(f, keyed["d"].eqNullSafe(f["sd"]) & (keyed["t"] == f["st"]), "left").select("d", "text", "spans")
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             size, gone, kept = [], [], []
             for t, s in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 t, s = t or b"", merged(s)

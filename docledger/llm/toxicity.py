@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.common import small_batches
+from docledger.llm.common import sliced
 
 #: Most labelled texts of each class that are read to fit.
 PER_CLASS = 3000
@@ -198,12 +198,11 @@ class Scorer:
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", into: str = "score") -> DataFrame:
     """key and the score of each row's whole text."""
-    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scorer.score(t) for t in batch.column(1).to_pylist()], pa.float64())], names=["key", "score"])
 
     out = docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(run, f"key {kind}, score double")
@@ -212,12 +211,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 def keep_ordinary(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, all columns, whose text scores below threshold."""
-    small_batches(docs.sparkSession)
     names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in sliced(batches):
             yield batch.filter(pa.array([scorer.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.common import small_batches
+from docledger.llm.common import sliced
 
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
@@ -178,10 +178,9 @@ def _schema(kind: pa.DataType) -> pa.Schema:
 
 def responses(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """A response record of each page (key, url, html)."""
-    small_batches(pages.sparkSession)
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             ids, urls, texts = (b.column(k).to_pylist() for k in range(3))
             yield _records([response(*x) for x in zip(ids, urls, texts, strict=True)], _schema(b.column(0).type))
 
@@ -190,10 +189,9 @@ def responses(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def derive(records: DataFrame) -> DataFrame:
     """Metadata and conversion records of the response records; other kinds have none."""
-    small_batches(records.sparkSession)
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             rows = [{**r, "headers": dict(r["headers"] or ())} for r in b.to_pylist()]
             yield _records([d for r in rows for d in derived(r)], _schema(b.column(0).type))
 
@@ -236,7 +234,7 @@ def members(records: DataFrame) -> DataFrame:
         return gzip.compress(data, mtime=0) + (gzip.compress(b"", mtime=0) if len(data) >> 24 else b"")
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             rows = [{**r, "headers": dict(r["headers"] or ())} for r in b.to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([packed(serialised(r)) for r in rows], pa.binary())], names=["member"])
 
