@@ -77,7 +77,6 @@ def parse(files: DataFrame, **policy) -> DataFrame:
 
 def read(spark: SparkSession, path: str, glob: str = "*.docx", **policy) -> DataFrame:
     """The packages below path."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     return parse(spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path), **policy)
 
 
