@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from docledger.plans import documents, references, structure, tables
+from docledger.plans import documents, packages, references, structure, tables
 
-_MODULES = (documents, structure, tables, references)
+_MODULES = (documents, structure, tables, references, packages)
 
 
 def queries() -> dict:
