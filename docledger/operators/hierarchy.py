@@ -67,6 +67,17 @@ def sections(rows: DataFrame, by: list[str], order: str = "seq", level: str = "l
     return nested(heads, by, order, level, range(1, 10), parent="parent_seq", end="end_seq")
 
 
+def enclosing(rows: DataFrame, by: list[str], order: str = "seq", level: str = "level", levels: range = range(1, 10), into: str = "roots") -> DataFrame:
+    """into: the headings (their order) of the sections that each row stands in, its own included if it is one, the outermost first.
+
+    The last heading of each level is open unless one of a smaller level has come since: a running maximum a level over one sort, and no join.
+    """
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumns({f"_last{k}": F.max(F.when(F.col(level) == k, F.col(order))).over(w) for k in levels})
+    found = [F.when(F.col(f"_last{k}") > F.coalesce(_greatest([F.lit(-1).cast("long"), *[F.col(f"_last{j}") for j in levels if j < k]]), F.lit(-1)), F.col(f"_last{k}")) for k in levels]
+    return out.withColumn(into, F.array_compact(F.array(*found))).drop(*[f"_last{k}" for k in levels])
+
+
 def lists(rows: DataFrame, by: list[str], order: str, item: Column, same: list[str]) -> DataFrame:
     """Items in runs: list_no numbers the runs of a document; a run ends at any row that is no item or differs in same.
 

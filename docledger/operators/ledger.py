@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger import ids
+from docledger.lineage import cut
 
 # trees and text
 
@@ -160,22 +161,17 @@ def evidence(blocks: DataFrame) -> DataFrame:
     return blocks.where(F.col("kind").isin(*EVIDENCE_KINDS)).withColumn("evidence_id", ids.evidence_id(F.col("doc"), F.col("kind"), F.col("block_id"), "primary", F.col("sources")))
 
 
-def chain(edges: DataFrame, key: str, above: str, values: list[str], depth: int = 64) -> DataFrame:
-    """key and, of each value, the nearest one that is not null on the way up; a circle ends where it closes.
+def chain(edges: DataFrame, key: str, above: str, values: list[str]) -> DataFrame:
+    """key and, of each value, the nearest one that is not null on the way up, however far that is; what lies above a circle is nothing but the circle.
 
-    One level of every chain is added at a time; it stops when no chain grows, after depth steps at most.
+    Each round looks twice as far: a row takes what the row at its end has found and goes on from that row's end, so the number of rounds is the logarithm of
+    the longest way. Each round is written to the shared folder. Keys are unique.
     """
-    base = edges.select(F.col(key).alias("_k"), F.col(above).alias("_up"), *values)
-    now = edges.select(key, F.col(above).alias("_next"), F.array(F.col(key)).alias("_seen"), *values)
-    for _ in range(depth):
-        open_ = reduce(lambda a, b: a | b, [F.col(v).isNull() for v in values])
-        if now.where(F.col("_next").isNotNull() & open_).isEmpty():
+    now = cut(edges.select(F.col(key).alias("_k"), F.col(above).alias("_up"), *values))
+    open_ = F.col("_up").isNotNull() & reduce(lambda a, b: a | b, [F.col(v).isNull() for v in values])
+    for _ in range(now.count().bit_length()):  # no way is longer than there are rows
+        if now.where(open_).isEmpty():
             break
-        up = base.select("_k", "_up", *[F.col(v).alias(f"_{v}") for v in values])
-        now = now.join(up, now["_next"] == up["_k"], "left").select(
-            key,
-            F.when(~F.array_contains("_seen", F.col("_up")), F.col("_up")).alias("_next"),
-            F.when(F.col("_k").isNotNull(), F.concat("_seen", F.array("_k"))).otherwise(F.col("_seen")).alias("_seen"),
-            *[F.coalesce(v, f"_{v}").alias(v) for v in values],
-        )
-    return now.select(key, *values)
+        further = now.select(F.col("_k").alias("_j"), F.col("_up").alias("_next"), *[F.col(v).alias(f"_{v}") for v in values])
+        now = cut(now.join(further, now["_up"] == further["_j"], "left").select("_k", F.col("_next").alias("_up"), *[F.coalesce(v, f"_{v}").alias(v) for v in values]))
+    return now.select(F.col("_k").alias(key), *values)

@@ -84,10 +84,9 @@ def sections(nodes: DataFrame) -> DataFrame:
     found = hierarchy.sections(heads, ["doc"])
     total = nodes.groupBy("doc").agg((F.max("sequence") + 1).alias("_stop"))
     found = found.join(total, "doc").withColumn("end_seq", F.coalesce("end_seq", "_stop")).drop("_stop")
-    inside = nodes.select("doc", "sequence", F.col("node_id").alias("_id"))
-    r = found.select(F.col("doc").alias("_doc"), "seq", "end_seq")
-    held = inside.join(r, (F.col("doc") == F.col("_doc")) & (F.col("sequence") >= F.col("seq")) & (F.col("sequence") < F.col("end_seq")))
-    held = held.groupBy("doc", "seq").agg(F.transform(F.array_sort(F.collect_list(F.struct("sequence", "_id"))), lambda x: x["_id"]).alias("sources"))
+    leveled = nodes.select("doc", F.col("sequence").alias("seq"), F.col("node_id").alias("_id"), F.when(F.col("kind") == "paragraph", _heading()["level"]).alias("level"))
+    inside = hierarchy.enclosing(leveled, ["doc"]).select("doc", F.col("seq").alias("sequence"), "_id", F.explode("roots").alias("seq"))
+    held = inside.groupBy("doc", "seq").agg(F.transform(F.array_sort(F.collect_list(F.struct("sequence", "_id"))), lambda x: x["_id"]).alias("sources"))
     runs = nodes.where("kind = 'text_run'").select("doc", F.element_at("ancestors", -1).alias("seq"), "sequence", F.coalesce("text", F.lit("")).alias("text"))
     titles = ledger.joined_text(runs, ["doc", "seq"], "text", "sequence", "title")
     config = F.concat(F.lit('{"level":'), F.col("level").cast("string"), F.lit(',"via":"'), F.col("via"), F.lit('"}'))
@@ -99,10 +98,15 @@ def sections(nodes: DataFrame) -> DataFrame:
 
 def section_blocks(blocks_: DataFrame, sections_: DataFrame) -> DataFrame:
     """doc, section_id, section_seq, block_id, seq: blocks any of whose nodes lie in a section."""
-    b = blocks_.select("doc", "block_id", "seq", F.explode("source_seqs").alias("at"))
-    s = sections_.select(F.col("doc").alias("_doc"), "section_id", F.col("seq").alias("section_seq"), "end_seq")
-    met = b.join(s, (F.col("doc") == F.col("_doc")) & (F.col("at") >= F.col("section_seq")) & (F.col("at") < F.col("end_seq")))
-    return met.select("doc", "section_id", "section_seq", "block_id", "seq").distinct()
+    none = F.lit(None)
+    at = blocks_.select("doc", F.explode("source_seqs").alias("at"), none.cast("int").alias("level"), "block_id", F.col("seq").alias("block_seq"))
+    heads = sections_.select("doc", F.col("seq").alias("at"), "level", none.cast("string").alias("block_id"), none.cast(blocks_.schema["seq"].dataType).alias("block_seq"))
+    # a heading comes before what stands at its own place; places are doubled to say so
+    rows = heads.unionByName(at).withColumn("order", (F.col("at") * 2 + F.col("block_id").isNotNull().cast("int")).cast("long"))
+    inside = hierarchy.enclosing(rows, ["doc"], "order").where("block_id is not null").select("doc", "block_id", F.col("block_seq").alias("seq"), F.explode("roots").alias("root"))
+    inside = inside.select("doc", "block_id", "seq", (F.col("root") / 2).cast("long").alias("section_seq")).distinct()
+    names = sections_.select("doc", "section_id", F.col("seq").cast("long").alias("section_seq"))
+    return inside.join(names, ["doc", "section_seq"]).select("doc", "section_id", "section_seq", "block_id", "seq")
 
 
 def captions(nodes: DataFrame) -> DataFrame:

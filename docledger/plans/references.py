@@ -59,17 +59,17 @@ SELECT doc_id, 'image-classification-' || sha256(encode(sha) || unhex('00') || e
 
 
 def style_inheritance(spark, sf_dir):
-    """Customers as styles based on one another: the nearest balance and segment that is known on the way up."""
+    """Customers as styles, chains of 200 of them based on one another: the nearest balance and segment that is known on the way up."""
     c = table(spark, sf_dir, "customer")
     styles = c.select(
-        F.col("c_custkey").alias("style_id"), F.when(F.col("c_custkey") > 1, F.floor(F.col("c_custkey") / 2)).cast("long").alias("based_on"),
-        F.when(F.col("c_custkey") % 7 == 1, F.col("c_mktsegment")).alias("name"), F.when(F.col("c_custkey") % 5 == 0, F.col("c_nationkey")).alias("outline_level"),
+        F.col("c_custkey").alias("style_id"), F.when(F.col("c_custkey") % 200 != 1, F.col("c_custkey") - 1).alias("based_on"),
+        F.when(F.col("c_custkey") % 400 == 1, F.col("c_mktsegment")).alias("name"), F.when(F.col("c_custkey") % 97 == 0, F.col("c_nationkey")).alias("outline_level"),
     )
     return ledger.chain(styles, "style_id", "based_on", ["name", "outline_level"])
 
 
 STYLE_INHERITANCE = """
-WITH RECURSIVE s AS (SELECT c_custkey AS id, CASE WHEN c_custkey > 1 THEN c_custkey // 2 END AS up, CASE WHEN c_custkey % 7 = 1 THEN c_mktsegment END AS name, CASE WHEN c_custkey % 5 = 0 THEN c_nationkey END AS o FROM customer),
+WITH RECURSIVE s AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 200 <> 1 THEN c_custkey - 1 END AS up, CASE WHEN c_custkey % 400 = 1 THEN c_mktsegment END AS name, CASE WHEN c_custkey % 97 = 0 THEN c_nationkey END AS o FROM customer),
 w AS (SELECT id, id AS at, 0 AS d FROM s UNION ALL SELECT w.id, s.up, d + 1 FROM w JOIN s ON s.id = w.at WHERE s.up IS NOT NULL)
 SELECT w.id AS style_id, arg_min(s.name, d) FILTER (WHERE s.name IS NOT NULL) AS name, arg_min(s.o, d) FILTER (WHERE s.o IS NOT NULL) AS outline_level FROM w JOIN s ON s.id = w.at GROUP BY 1"""
 

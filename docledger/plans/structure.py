@@ -31,11 +31,8 @@ SELECT conv_id, seq, level, 'outline_level' AS via, (SELECT max(b.seq) FROM h b
 
 def section_members(spark, sf_dir):
     """What stands in each section: the turns from its heading up to its end."""
-    turns = _turns(spark, sf_dir)
-    found = hierarchy.sections(turns, ["doc"]).select("doc", F.col("seq").alias("root"), F.coalesce("end_seq", F.lit(1 << 60)).alias("stop"))
-    members = turns.select("doc", "seq", F.length("text").alias("n"))
-    joined = members.join(found, (members["doc"] == found["doc"]) & (members["seq"] >= found["root"]) & (members["seq"] < found["stop"])).drop(found["doc"])
-    return joined.groupBy(F.col("doc").alias("conv_id"), F.col("root").alias("seq")).agg(F.count("*").alias("members"), F.sum("n").cast("long").alias("n_chars"), F.max("seq").alias("last_seq"))
+    inside = hierarchy.enclosing(_turns(spark, sf_dir), ["doc"]).select("doc", "seq", F.length("text").alias("n"), F.explode("roots").alias("root"))
+    return inside.groupBy(F.col("doc").alias("conv_id"), F.col("root").alias("seq")).agg(F.count("*").alias("members"), F.sum("n").cast("long").alias("n_chars"), F.max(inside["seq"]).alias("last_seq"))
 
 
 SECTION_MEMBERS = f"""
@@ -47,11 +44,9 @@ SELECT s.conv_id, s.seq, count(*)::BIGINT AS members, sum(length(t.text))::BIGIN
 def section_evidence(spark, sf_dir):
     """The turns of each section in order, as ids."""
     turns = _turns(spark, sf_dir).withColumn("id", ids.node_id(F.col("doc").cast("string"), adapters.PART, F.col("seq").cast("string"), "paragraph"))
-    found = hierarchy.sections(turns, ["doc"]).select("doc", F.col("seq").alias("root"), F.coalesce("end_seq", F.lit(1 << 60)).alias("stop"))
-    members = turns.select("doc", "seq", "id")
-    joined = members.join(found, (members["doc"] == found["doc"]) & (members["seq"] >= found["root"]) & (members["seq"] < found["stop"])).drop(found["doc"])
+    inside = hierarchy.enclosing(turns, ["doc"]).select("doc", "seq", "id", F.explode("roots").alias("root"))
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("seq", "id"))), lambda x: x["id"])
-    return joined.groupBy(F.col("doc").alias("conv_id"), F.col("root").alias("seq")).agg(F.sha2(F.array_join(in_order, ","), 256).alias("evidence_sha256"))
+    return inside.groupBy(F.col("doc").alias("conv_id"), F.col("root").alias("seq")).agg(F.sha2(F.array_join(in_order, ","), 256).alias("evidence_sha256"))
 
 
 SECTION_EVIDENCE = f"""
@@ -83,15 +78,15 @@ LIST_NESTING = f"WITH {_TURNS} SELECT conv_id, seq, list_level, (SELECT max(b.se
 
 
 def section_hierarchy(spark, sf_dir):
-    """Nine levels of headings: lines of documents, their level by their length."""
-    lines = adapters.document_lines(table(spark, sf_dir, "documents")).where(F.length("line") % 3 == 0)
+    """Nine levels of headings: every line of documents, its level by its length."""
+    lines = adapters.document_lines(table(spark, sf_dir, "documents"))
     heads = lines.select("doc_id", F.col("pos").cast("long").alias("seq"), (F.length("line") % 9 + 1).cast("int").alias("level"))
     return hierarchy.sections(heads, ["doc_id"]).select("doc_id", "seq", "level", "parent_seq", "end_seq")
 
 
 SECTION_HIERARCHY = """
 WITH lines AS (SELECT doc_id, t.i AS seq, l[t.i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), unnest(range(1, len(l) + 1)) AS t(i)),
-h AS (SELECT doc_id, seq, (length(line) % 9 + 1)::INTEGER AS level FROM lines WHERE length(line) % 3 = 0)
+h AS (SELECT doc_id, seq, (length(line) % 9 + 1)::INTEGER AS level FROM lines)
 SELECT doc_id, seq, level, (SELECT max(b.seq) FROM h b WHERE b.doc_id = a.doc_id AND b.seq < a.seq AND b.level < a.level) AS parent_seq,
        (SELECT min(b.seq) FROM h b WHERE b.doc_id = a.doc_id AND b.seq > a.seq AND b.level <= a.level) AS end_seq FROM h a"""
 
@@ -108,18 +103,6 @@ def _sql_found(pattern: str, into: str) -> str:
 _LINK, _HEADING, _ITEM = '<a href="([^"]*)">', "<h1>([^<]*)</h1>", "<li>(?:<a[^>]*>)?([^<]*)"
 
 
-def page_hyperlinks(spark, sf_dir):
-    return _found(spark, sf_dir, _LINK, "url")
-
-
-def page_headings(spark, sf_dir):
-    return _found(spark, sf_dir, _HEADING, "title")
-
-
-def page_list_items(spark, sf_dir):
-    return _found(spark, sf_dir, _ITEM, "item")
-
-
 def link_targets(spark, sf_dir):
     """Links resolved against parts by the rules of package relationships; unsafe ones have no target."""
     links = _found(spark, sf_dir, _LINK, "url")
@@ -147,12 +130,6 @@ def page_assets(spark, sf_dir):
 PAGE_ASSETS = "SELECT page_id, 'asset-' || sha256(html) || CASE WHEN page_id % 3 = 0 THEN '.png' WHEN page_id % 2 = 0 THEN '.html' ELSE '.bin' END AS file_name FROM pages"
 
 
-def page_duplicates(spark, sf_dir):
-    return ledger.duplicated(table(spark, sf_dir, "pages").select(F.regexp_extract("url", "^([a-z]+://[^/]+)", 1).alias("host")), ["host"])
-
-
-PAGE_DUPLICATES = "SELECT regexp_extract(url, '^([a-z]+://[^/]+)', 1) AS host, count(*)::BIGINT AS n FROM pages GROUP BY 1 HAVING count(*) > 1"
-
 QUERIES = {
     "conversation_sections": (conversation_sections, CONVERSATION_SECTIONS),
     "section_members": (section_members, SECTION_MEMBERS),
@@ -160,10 +137,6 @@ QUERIES = {
     "conversation_lists": (conversation_lists, CONVERSATION_LISTS),
     "list_nesting": (list_nesting, LIST_NESTING),
     "section_hierarchy": (section_hierarchy, SECTION_HIERARCHY),
-    "page_hyperlinks": (page_hyperlinks, _sql_found(_LINK, "url")),
-    "page_headings": (page_headings, _sql_found(_HEADING, "title")),
-    "page_list_items": (page_list_items, _sql_found(_ITEM, "item")),
     "link_targets": (link_targets, LINK_TARGETS),
     "page_assets": (page_assets, PAGE_ASSETS),
-    "page_duplicates": (page_duplicates, PAGE_DUPLICATES),
 }
