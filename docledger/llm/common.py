@@ -23,3 +23,23 @@ def sliced(batches, rows: int = BATCH_ROWS):
 def ascii_lower(column):
     """Lower-case A-Z alone, whatever the locale or the script."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of docs, all columns, of each component: of the smallest id, then of the smallest hash of the text; a row without an id only where there is no other.
+
+    found: doc_id, t (XXH64 of the text) and component of each row of docs. Rows are told apart by id and text, so texts that share an id have each their own fate.
+    """
+    found = found.select(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "t").alias("row"), "component")
+    first = found.groupBy("component").agg(F.min("row").alias("first"))
+    more = found.join(first, "component").where("row != first").select(F.col("row.doc_id").alias("d"), F.col("row.t").alias("h")).distinct()
+    own = "t"
+    while own.lower() in (c.lower() for c in docs.columns):
+        own += "_"
+    marked = docs.withColumn(own, F.xxhash64("text"))
+    kept = marked.join(more, marked["doc_id"].eqNullSafe(more["d"]) & (marked[own] == more["h"]), "left_anti")
+    twice = found.groupBy("row").count().where("count > 1").select(F.col("row.doc_id").alias("d"), F.col("row.t").alias("h"))
+    if not twice.isEmpty():
+        same = kept["doc_id"].eqNullSafe(twice["d"]) & (kept[own] == twice["h"])
+        kept = kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates(["doc_id", own]))
+    return kept.select(docs.columns)

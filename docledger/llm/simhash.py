@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.lineage import cut
-from docledger.llm.common import sliced
+from docledger.lineage import cut, written
+from docledger.llm.common import keep_first, sliced
 from docledger.llm.components import components
 
 SHINGLE = 4
@@ -128,10 +128,12 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
 
 def grouped(fps: DataFrame, key: str = "doc_id", bits: int = BITS) -> DataFrame:
     """fps (key, fp) with component_id: the smallest key of all rows that links reach, the row's own included."""
-    of = components(links(fps, bits).distinct())
-    rows = fps.join(of.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = rows.groupBy("component").agg(F.min(key).alias("component_id"))
-    return rows.join(least, "component").select(key, "fp", "component_id")
+    of = components(links(fps, bits).distinct()).withColumnRenamed("node", "fp")
+    # a row for each fingerprint; sums are written before they are joined, so that a hot fingerprint's or component's rows can be split
+    once = written(fps.groupBy("fp").agg(F.min(key).alias("first")).join(of, "fp", "left").withColumn("component", F.coalesce("component", "fp")))
+    least = written(once.groupBy("component").agg(F.min("first").alias("component_id")))
+    named = written(once.select("fp", "component").join(least, "component").select("fp", "component_id"))
+    return fps.join(named, "fp").select(key, "fp", "component_id")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -141,24 +143,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The rows, all columns, of the smallest id of each component; of rows without an id one in a component that has no other."""
-    found = cut(grouped(cut(fingerprints(docs, shingle=shingle)), bits=bits))
-    more = found.where("doc_id != component_id").select("doc_id")
-    kept = docs.where("doc_id is not null").join(more, "doc_id", "left_anti").select(docs.columns)
-    twice = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    if not twice.isEmpty():
-        again = kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
-    nameless = found.where("doc_id is null and component_id is null").select("fp").distinct()
-    if not nameless.isEmpty():
-        lost = docs.where("doc_id is null").dropDuplicates(["text"])
-        kept = kept.unionByName(lost.limit(0) if lost.isEmpty() else _nameless(lost, nameless, shingle, bits))
-    return kept
-
-
-def _nameless(docs: DataFrame, fps: DataFrame, shingle: int, bits: int) -> DataFrame:
-    """Of rows without an id: one for each component of fps, which hold no row with an id."""
-    by_text = docs.withColumn("doc_id", F.xxhash64("text"))
-    found = cut(fingerprints(by_text, shingle=shingle).join(fps, "fp", "left_semi"))
-    heads = grouped(found, bits=bits).select("component_id").distinct().withColumnRenamed("component_id", "doc_id")
-    return by_text.join(heads, "doc_id", "left_semi").select(docs.columns).withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
+    """The first row of each component (common.keep_first)."""
+    rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("t")).alias("row"), "text")
+    found = cut(grouped(cut(fingerprints(rows, "row", shingle=shingle)), "row", bits))
+    return keep_first(docs, found.select("row.doc_id", "row.t", F.col("component_id").alias("component")))
