@@ -96,10 +96,20 @@ def misshapen(artifact) -> list[str]:
     out += wrong("document", artifact.get("document"), DOCUMENT) if "document" in artifact else []
     if "schema_version" in artifact and artifact["schema_version"] != SCHEMA_VERSION:
         out.append(f"schema_version is not {SCHEMA_VERSION}")
-    ids_seen = [n["node_id"] for n in artifact.get("nodes") or () if isinstance(n, dict) and "node_id" in n]
-    if len(set(ids_seen)) < len(ids_seen):
-        out.append("nodes share an id")
-    return out
+    return out or _unlinked(artifact)
+
+
+def _unlinked(artifact: dict) -> list[str]:
+    """What an artifact of the right shape says of nodes that are not there, or are twice or out of order."""
+    nodes, blocks = artifact["nodes"] or [], artifact["blocks"] or []
+    known, order = {n["node_id"] for n in nodes}, [n["sequence"] for n in nodes]
+    rules = (
+        ("nodes share an id", len(known) < len(nodes)),
+        ("nodes are not in the order of their sequence", any(a >= b for a, b in zip(order, order[1:], strict=False))),
+        ("a parent is no node", not {n.get("parent_id") for n in nodes} <= known | {None}),
+        ("a block is made of what is no node", not {s for b in blocks for s in b.get("sources") or ()} <= known),
+    )
+    return [why for why, broken in rules if broken]
 
 
 def canonical_json(artifact: dict) -> str:

@@ -123,7 +123,7 @@ def test_artifacts_repeat_to_the_byte_and_the_command_line_tells(spark, folder,
     artifact = json.loads(one.read_text())
     assert artifact["document"]["filename"] == "a.docx" and artifact["extractor_version"] == "0.2.0"
     assert cli.run(["validate", str(one)]) == 0
-    for spoiled in ({k: v for k, v in artifact.items() if k != "nodes"}, {**artifact, "document": {}}, {**artifact, "nodes": artifact["nodes"] * 2}, {**artifact, "schema_version": "0"}, []):
+    for spoiled in ({k: v for k, v in artifact.items() if k != "nodes"}, {**artifact, "document": {}}, {**artifact, "nodes": artifact["nodes"] * 2}, {**artifact, "schema_version": "0"}, [], {**artifact, "nodes": artifact["nodes"][::-1]}, {**artifact, "nodes": artifact["nodes"][1:]}):
         two.write_text(json.dumps(spoiled))
         with pytest.raises(SystemExit):
             cli.run(["validate", str(two)])
