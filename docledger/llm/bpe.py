@@ -79,13 +79,20 @@ class Codec:
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.bare = Tokenizer.from_str(self.whole.to_str())
-        self.bare.normalizer = normalizers.Sequence([])
+        self._bare, self._plain = None, lambda: normalizers.Sequence([])
         self.split_space, self.leaf, self.cache = split_space, leaf, {}
         added = sorted((t.content for t in self.whole.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.words = [self.whole.id_to_token(k) for k in range(self.whole.get_vocab_size())]
 
+    @property
+    def bare(self):
+        """The tokenizer without its normalizer, made when it is first needed."""
+        if self._bare is None:
+            self._bare = type(self.whole).from_str(self.whole.to_str())
+            self._bare.normalizer = self._plain()
+        return self._bare
+
     # long unsplit runs
 
     def _leaves(self, lo: int, hi: int) -> list[tuple[int, int]]:

@@ -18,12 +18,14 @@ import threading
 import uuid
 from urllib.parse import quote
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.lineage import shared_dir, written
 from docledger.llm import bpe
+from docledger.llm.common import sliced
 
 GROUP = ("source", "lang", "version")
 CHANGE = "source string, lang string, version string, docs long, tokens long"
@@ -34,10 +36,23 @@ WORDS = "words-1"
 BPE = "word-bpe-49k"
 
 
-def words(text: str = "text") -> Column:
+def words(text: str | None) -> int:
     """Number of tokens of the counting rule."""
-    spaced = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\x09-\x0D\x20]+", " "))
-    return F.when(F.length(spaced) > 0, F.size(F.split(spaced, " "))).otherwise(0).cast("long")
+    return len((text or "").encode("utf-8", "surrogatepass").split())
+
+
+def counts(docs: DataFrame, path: str, key: str) -> DataFrame:
+    """key, words (of the counting rule) and n_tokens (of the tokenizer file at path) of each row, in one pass over the texts."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches):
+        codec = bpe.Codec(path, True)
+        for batch in sliced(batches):
+            texts = batch.column(1).to_pylist()
+            tokens = pa.array([len(x) // 4 for x in codec.encode_all(texts)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([words(x) for x in texts], pa.int64()), tokens], names=["key", "words", "n_tokens"])
+
+    return docs.select(docs[key].alias("key"), docs["text"]).mapInArrow(run, f"key {kind}, words long, n_tokens long").withColumnRenamed("key", key)
 
 
 def bpe_counts(docs: DataFrame, path: str, key: str = "doc_id", *, split_space: bool = True) -> DataFrame:
@@ -158,10 +173,10 @@ def digest(docs: DataFrame, path: str) -> DataFrame:
     (one without an id only where there is no other) are deleted. Then the tokenizer's version is revised to what the tokenizer counts.
     """
     spark = docs.sparkSession
-    known = F.struct("doc_id", "source", "lang", F.xxhash64("text").alias("h"), F.xxhash64(F.lit("again"), "text").alias("g"), words().alias("words"))
-    counted = written(bpe_counts(docs.select(known.alias("row"), "text"), path, "row"))
-    rows = counted.select("row.source", "row.lang", F.col("row.words").alias("tokens"))
-    first = F.min(F.struct(F.col("row.doc_id").isNull().alias("nameless"), F.col("row.doc_id").alias("id"), "row.source", "row.lang", "row.words", "n_tokens")).alias("first")
+    known = F.struct("doc_id", "source", "lang", F.xxhash64("text").alias("h"), F.xxhash64(F.lit("again"), "text").alias("g"))
+    counted = written(counts(docs.select(known.alias("row"), "text"), path, "row"))
+    rows = counted.select("row.source", "row.lang", F.col("words").alias("tokens"))
+    first = F.min(F.struct(F.col("row.doc_id").isNull().alias("nameless"), F.col("row.doc_id").alias("id"), "row.source", "row.lang", "words", "n_tokens")).alias("first")
     stays = written(counted.groupBy("row.h", "row.g").agg(first).select("first.source", "first.lang", F.col("first.words").alias("tokens"), "first.n_tokens"))
 
     def both(part: DataFrame) -> DataFrame:

@@ -70,8 +70,8 @@ def test_rows(spark, sf_dir):
 
 
 def test_a_text_of_many_leaves_is_joined_at_every_cut(monkeypatch):
-    words = LIBRARY.decode(list(range(2000, 6000))).split()
-    text = " ".join(random.Random(5).choice(words) for _ in range(3000))
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(3, 12))) for _ in range(3000))
     codec, joins = bpe.Codec(PATH, True), []
     inner = codec._concatenated
     monkeypatch.setattr(codec, "_concatenated", lambda text, left, right: joins.append(left[1]) or inner(text, left, right))
