@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.lineage import cut
+from docledger.lineage import cut, written
 
 
 def _large(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # written before it is joined, so that both sides are shuffled as they are and the rows of a node with many neighbours can be split
+    least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     return both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b")
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """Every node is linked to its smallest smaller neighbour, and so are its other smaller ones."""
     down = edges.select(F.greatest("a", "b").alias("n"), F.least("a", "b").alias("v"))
-    least = down.groupBy("n").agg(F.min("v").alias("m"))
+    least = written(down.groupBy("n").agg(F.min("v").alias("m")))
     others = down.join(least, "n").select("v", "m").where("v != m")
     return least.select(F.col("m").alias("a"), F.col("n").alias("b")).unionByName(others.select(F.col("m").alias("a"), F.col("v").alias("b")))
 
