@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docledger.llm.common import sliced
+from docledger.llm.common import bounded, sliced
 
 #: Most characters of a leaf, of a text and of a run within it.
 LEAF = 2048
@@ -241,6 +241,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     split_space: the tokenizer of that file drops white space and never joins across it.
     """
+    bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -260,6 +261,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
 def decode(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """key and the decoded text of ids; null ids are empty."""
+    bounded(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches):

@@ -7,12 +7,22 @@ from pyspark.sql import functions as F
 
 #: Rows that a Python worker turns into results at once: texts may be long, and two workers share an executor's memory.
 BATCH_ROWS = 256
+#: Most bytes of a batch on its way to a Python worker.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded(spark: SparkSession) -> None:
+    """Let no Arrow batch of the session be larger than BATCH_BYTES: two tasks of an executor hold several at once. The same for all operators, and a smaller bound stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name)
+    if not now or not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def sliced(batches, rows: int = BATCH_ROWS):
     """Arrow batches, which Spark bounds in bytes, in slices of few rows: what is made of one at a time, and sent back, is bounded too."""
     for batch in batches:

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docledger.llm.common import bounded
+
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_KINDS = KINDS[:4]
@@ -205,11 +207,13 @@ def _redacted(text, found):
 
 def find(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
     """docs with a column of spans (kind, start, end, score). A column of that name is replaced."""
+    bounded(docs.sparkSession)
     return docs.withColumn(into, _spans(F.col(text)))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs, same columns, with every span of the text replaced by its kind in brackets."""
+    bounded(docs.sparkSession)
     return docs.withColumn(text, _redacted(F.col(text), _spans(F.col(text))))
 
 

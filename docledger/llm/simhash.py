@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.lineage import cut, written
-from docledger.llm.common import keep_first, sliced
+from docledger.llm.common import bounded, keep_first, sliced
 from docledger.llm.components import components
 
 SHINGLE = 4
@@ -73,6 +73,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """key and fp (a long with the fingerprint's bits) of each row."""
+    bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from docledger.lineage import written
 from docledger.llm import suffixes
-from docledger.llm.common import sliced
+from docledger.llm.common import bounded, sliced
 
 SIZE = 200
 GRAM = 32
@@ -195,6 +195,7 @@ def _windows(pieces: DataFrame, kind: str) -> DataFrame:
 
 def spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """d (key), t (hash of the text), s, e: bytes that go, in spans that may overlap."""
+    bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     keyed = _keyed(docs, key, text)
     found = written(keyed.mapInArrow(_scan(None), f"d {kind}, t long, at long, n int, anchor long, content long"))

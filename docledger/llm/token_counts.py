@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from docledger.lineage import shared_dir, written
 from docledger.llm import bpe
-from docledger.llm.common import sliced
+from docledger.llm.common import bounded, sliced
 
 GROUP = ("source", "lang", "version")
 CHANGE = "source string, lang string, version string, docs long, tokens long"
@@ -43,6 +43,7 @@ def words(text: str | None) -> int:
 
 def counts(docs: DataFrame, path: str, key: str) -> DataFrame:
     """key, words (of the counting rule) and n_tokens (of the tokenizer file at path) of each row, in one pass over the texts."""
+    bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):

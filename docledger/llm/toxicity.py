@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.common import sliced
+from docledger.llm.common import bounded, sliced
 
 #: Most labelled texts of each class that are read to fit.
 PER_CLASS = 3000
@@ -198,6 +198,7 @@ class Scorer:
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", into: str = "score") -> DataFrame:
     """key and the score of each row's whole text."""
+    bounded(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -211,6 +212,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
 
 def keep_ordinary(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, all columns, whose text scores below threshold."""
+    bounded(docs.sparkSession)
     names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):

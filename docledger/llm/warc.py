@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.common import sliced
+from docledger.llm.common import bounded, sliced
 
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
@@ -178,6 +178,7 @@ def _schema(kind: pa.DataType) -> pa.Schema:
 
 def responses(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """A response record of each page (key, url, html)."""
+    bounded(pages.sparkSession)
 
     def run(batches):
         for b in sliced(batches):
@@ -189,6 +190,7 @@ def responses(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def derive(records: DataFrame) -> DataFrame:
     """Metadata and conversion records of the response records; other kinds have none."""
+    bounded(records.sparkSession)
 
     def run(batches):
         for b in sliced(batches):
