@@ -15,8 +15,9 @@ from docledger.lineage import cut
 
 def descendants(nodes: DataFrame, roots: DataFrame, by: str = "doc") -> DataFrame:
     """root_seq and the rows of nodes below it. Both sides have by and seq; roots have subtree_end, the last place below them."""
-    r = roots.select(F.col(by).alias("_by"), F.col("seq").alias("root_seq"), "subtree_end")
-    return nodes.join(r, (F.col(by) == F.col("_by")) & (F.col("seq") > F.col("root_seq")) & (F.col("seq") <= F.col("subtree_end"))).drop("_by", "subtree_end")
+    # each root names the places below it, so that the join is of equal places and no larger than its result
+    inside = roots.where("subtree_end > seq").select(F.col(by).alias("_by"), F.col("seq").alias("root_seq"), F.explode(F.expr("sequence(cast(seq as bigint) + 1, cast(subtree_end as bigint))")).alias("_at"))
+    return nodes.join(inside, (F.col(by) == F.col("_by")) & (F.col("seq") == F.col("_at"))).drop("_by", "_at")
 
 
 def joined_text(rows: DataFrame, by: list[str], text: str = "text", order: str = "seq", into: str = "content") -> DataFrame:
