@@ -19,7 +19,7 @@ def bounded(spark: SparkSession) -> None:
     """Let no Arrow batch of the session be larger than BATCH_BYTES: two tasks of an executor hold several at once. The same for all operators, and a smaller bound stays."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(name)
-    if not now or not now.rstrip("b").isdigit() or not 0 < int(now.rstrip("b")) <= BATCH_BYTES:
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > BATCH_BYTES:  # a size may have a unit
         spark.conf.set(name, str(BATCH_BYTES))
 
 

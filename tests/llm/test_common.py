@@ -7,7 +7,7 @@ NAME = "spark.sql.execution.arrow.maxBytesPerBatch"
 def test_the_bound_on_batches_is_set_once_and_a_smaller_one_stays(spark):
     before = spark.conf.get(NAME)
     try:
-        for now, want in (("67108864", common.BATCH_BYTES), ("4096", 4096), ("-1", common.BATCH_BYTES)):
+        for now, want in (("67108864", common.BATCH_BYTES), ("4096", 4096), ("64m", common.BATCH_BYTES)):
             spark.conf.set(NAME, now)
             common.bounded(spark)
             assert int(spark.conf.get(NAME).rstrip("b")) == want
