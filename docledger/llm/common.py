@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Rows that a Python worker turns into results at once: texts may be long, and two workers share an executor's memory.
 BATCH_ROWS = 256
 #: Most bytes of a batch on its way to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
