@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +27,22 @@ def bounded(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def _tidied() -> None:
+    """Give memory that is free back to the system: workers stay for later tasks, beside those of other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def sliced(batches, rows: int = BATCH_ROWS):
     """Arrow batches, which Spark bounds in bytes, in slices of few rows: what is made of one at a time, and sent back, is bounded too."""
+    _tidied()
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
+    _tidied()
 
 
 def ascii_lower(column):
