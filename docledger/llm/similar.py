@@ -1,15 +1,15 @@
-"""Near-duplicates by the Jaccard similarity of their shingles: an inverted index of byte positions with count filtering, verified.
+"""Near-duplicates by the Jaccard similarity of their shingles: an inverted index of a wide SimHash's byte positions with count filtering, verified.
 
 Words are those of simhash; a shingle is 5 words (of a text with fewer words, all of them) and a text stands for the set of its
 shingles. Texts are linked if their sets have a Jaccard similarity of SIMILARITY = 0.8 or more; texts without words only with each other.
 
-A fingerprint is BANDS * 3 bytes, each the low byte of the smallest hash of the set under a hash function of its own, so
-that two sets share a byte with a chance of their similarity J (and 1/256 of the rest). The index lists texts by three positional bytes
-at a time. A pair at J = 0.8 shares none of 16 lists with a chance of 0.488^16, one in 100,000; the shared
-bytes of pairs in a list are tallied, and pairs below SHARED = 26 of 48 (at J = 0.8 one in 50,000) are dropped.
+A fingerprint is a SimHash of PLACES bytes: a bit is 1 if more than half of the set's hashes, mixed anew for each 64 bits, have it. Two sets at a Jaccard
+similarity of J = 0.8 differ in a bit with a chance of 0.15, so that a byte is shared with one of 0.27. The index lists texts by two positional bytes
+at a time. A pair at J = 0.8 shares none of 128 lists with a chance of 0.928^128, seven in 100,000 (4 shingles of 5: some one in a hundred). Pairs in a list
+that differ in more than DIFFER of the first 128 bits are dropped (one in a million at J = 0.8).
 
 What remains is a forest that joins all texts which candidates reach. Its components are cut into blocks of BYTES of shingles, and in each
-pair of blocks every text reached is compared with all not yet reached, first by tally and then by the sets themselves: no pair goes
+pair of blocks every text reached is compared with all not yet reached, first by the tally of shared bytes (SHARED or more) and then by the sets themselves: no pair goes
 unseen because another one failed. Equal sets count once in all of this.
 """
 
@@ -28,15 +28,20 @@ from docledger.llm.passages import mixed, tokens_of, word_hashes
 from docledger.llm.simhash import BLOCK
 
 SIMILARITY = 0.8
-BANDS = 16
-PLACES = 3 * BANDS
-SHARED = 26
+BANDS = 128
+PLACES = 2 * BANDS
+SHARED = 28
+#: Bytes that go with each entry of a list, and the most bits that differ in them.
+HEAD, DIFFER = 16, 38
+#: Lists are dealt out in blocks by how many of the nodes whose hash is a multiple of SAMPLE they hold.
+SAMPLE = 64
 #: Bytes of shingles, eight each, in a block.
 BYTES = 4 << 20
-#: Shingles that are hashed at once.
-CHUNK = 1 << 13
+#: Shingles that are counted at once: a count has a byte.
+CHUNK = 255
 
-_SEEDS = np.random.default_rng(19).integers(1, 1 << 63, PLACES, np.int64).astype(np.uint64)
+_SEEDS = np.random.default_rng(19).integers(1, 1 << 63, PLACES // 8, np.int64).astype(np.uint64)
+_ONES = np.uint64(0x0101010101010101)
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -49,12 +54,12 @@ def shingles(text: bytes | None) -> np.ndarray:
 
 def fingerprint(found: np.ndarray) -> bytes:
     """Of a set that is not empty."""
-    least = np.full(PLACES, ~np.uint64(0))
+    count = np.zeros((len(_SEEDS), 8, 8), np.int64)
     for k in range(0, len(found), CHUNK):
-        part = found[k : k + CHUNK]
-        for p, seed in enumerate(_SEEDS):
-            least[p] = min(least[p], ((part ^ seed) * np.uint64(0xBF58476D1CE4E5B9)).min())
-    return (mixed(least) & np.uint64(255)).astype(np.uint8).tobytes()
+        words = mixed(found[k : k + CHUNK] ^ _SEEDS[:, None])
+        for bit in range(8):  # the sums of eight bits stand side by side in a word
+            count[:, :, bit] += np.add.reduce(words >> np.uint64(bit) & _ONES, axis=1).view(np.uint8).reshape(-1, 8)
+    return np.packbits(2 * count > len(found), bitorder="little").tobytes()
 
 
 def _node(found: np.ndarray) -> int:
@@ -62,13 +67,13 @@ def _node(found: np.ndarray) -> int:
 
 
 def forest(nodes: np.ndarray, prints: np.ndarray, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that share SHARED bytes or more and, with sets, are similar enough."""
+    """A spanning forest of the pairs that differ in DIFFER bits or less or, with sets, share SHARED bytes or more and are similar enough."""
     rest, pairs, front = np.arange(len(nodes)), [], []
     while len(rest):
         if not front:
             front, rest = [rest[0]], rest[1:]
         x = front.pop()
-        near = (prints[rest] == prints[x]).sum(1) >= SHARED
+        near = (prints[rest] == prints[x]).sum(1) >= SHARED if sets is not None else np.bitwise_count(prints[rest] ^ prints[x]).sum(1) <= DIFFER
         if sets is not None and near.any():
             mine, at = sets[x], np.flatnonzero(near)
             size = np.array([len(sets[y]) for y in rest[at]])
@@ -82,10 +87,9 @@ def forest(nodes: np.ndarray, prints: np.ndarray, sets: list[np.ndarray] | None
     return pairs
 
 
-def _pieces(members: DataFrame, blocks, values: list[str]) -> DataFrame:
-    """members (list, node, values) of each pair of blocks that a list of members is cut into; blocks: their number, an aggregate."""
-    sizes = members.groupBy("list").agg(F.count("*").alias("n"), blocks.cast("int").alias("blocks")).where("n > 1").drop("n")
-    placed = members.join(sizes, "list").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+def _pieces(members: DataFrame, sizes: DataFrame, values: list[str]) -> DataFrame:
+    """members (list, node, values) of each pair of blocks that a list of members is cut into; sizes: list and blocks, their number, of those in more than one."""
+    placed = members.join(sizes, "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = placed.select("list", "node", *values, "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     return dealt.groupBy("list", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).agg(F.collect_list(F.struct("node", *values)).alias("rows")).select("rows").where(F.size("rows") > 1)
 
@@ -98,7 +102,7 @@ def _linked(pieces: DataFrame, verify: bool) -> DataFrame:
             pairs = []
             for rows in batch.column(0):
                 rows = rows.values
-                prints = np.frombuffer(b"".join(rows.field("fp").to_pylist()), np.uint8).reshape(-1, PLACES)
+                prints = np.frombuffer(b"".join(rows.field("fp").to_pylist()), np.uint8).reshape(len(rows), -1)
                 sets = [np.frombuffer(s, np.uint64) for s in rows.field("found").to_pylist()] if verify else None
                 pairs += forest(rows.field("node").to_numpy(), prints, sets)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -121,19 +125,33 @@ def _sketched(texts: DataFrame, full: bool) -> DataFrame:
     return texts.mapInArrow(run, kind + "node long, fp binary" + ", found binary" * full)
 
 
+def _listed(nodes: DataFrame) -> DataFrame:
+    """list, node and fp (the first HEAD bytes) of each entry of the index of nodes."""
+
+    def run(batches):
+        for batch in sliced(batches):
+            prints = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, PLACES)
+            lists = prints.view("<u2").astype(np.int32) + (np.arange(BANDS, dtype=np.int32) << 16)
+            heads = pa.array([p.tobytes() for p in prints[:, :HEAD]], pa.binary())
+            row = pa.array(np.repeat(np.arange(len(prints)), BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(lists.ravel()), batch.column(0).take(row), heads.take(row)], names=["list", "node", "fp"])
+
+    return nodes.select("node", "fp").mapInArrow(run, "list int, node long, fp binary")
+
+
 def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, t (hash of the text) and component of each row."""
     bounded(docs.sparkSession)
     rows = written(_sketched(docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("t"), F.col(text).alias("text")), False))
-    nodes = rows.where("fp is not null").groupBy("node").agg(F.min("fp").alias("fp"))
-    three = [F.conv(F.hex(F.substring("fp", 3 * k + 1, 3)), 16, 10).cast("long") + F.lit(k << 24) for k in range(BANDS)]
-    index = nodes.select("node", "fp", F.explode(F.array(*three)).alias("list"))
-    reached = components(_linked(_pieces(index, F.ceil(F.count("*") / BLOCK), ["fp"]), False))
+    nodes = written(rows.where("fp is not null").groupBy("node").agg(F.min("fp").alias("fp")))
+    counts = _listed(nodes.where(F.pmod("node", F.lit(SAMPLE)) == 0)).groupBy("list").agg(F.ceil(F.count("*") * SAMPLE / BLOCK).cast("int").alias("blocks"))
+    reached = components(_linked(_pieces(_listed(nodes), written(counts.where("blocks > 1")), ["fp"]), False))
 
     once = rows.groupBy("node").agg(F.min("t").alias("t")).join(reached, "node").select("t", F.col("component").alias("list"))
     texts = docs.select(F.xxhash64(text).alias("t"), F.col(text).alias("text")).join(once, "t").dropDuplicates(["t"]).select("list", "text")
     sets = written(_sketched(texts, True))
-    links = _linked(_pieces(sets, F.ceil(F.sum(F.length("found")) / BYTES), ["fp", "found"]), True)
+    sizes = written(sets.groupBy("list").agg(F.ceil(F.sum(F.length("found")) / BYTES).cast("int").alias("blocks")).where("blocks > 1"))
+    links = _linked(_pieces(sets, sizes, ["fp", "found"]), True)
     out = rows.join(components(links), "node", "left")
     return cut(out.select(F.col("key").alias(key), "t", F.coalesce("component", "node").alias("component")))
 
