@@ -8,9 +8,12 @@ similarity of J = 0.8 differ in a bit with a chance of 0.15, so that a byte is s
 at a time. A pair at J = 0.8 shares none of 128 lists with a chance of 0.928^128, seven in 100,000 (4 shingles of 5: some one in a hundred). Pairs in a list
 that differ in more than DIFFER of the first 128 bits are dropped (one in a million at J = 0.8).
 
-What remains is a forest that joins all texts which candidates reach. Its components are cut into blocks of BYTES of shingles, and in each
-pair of blocks every text reached is compared with all not yet reached, first by the tally of shared bytes (SHARED or more) and then by the sets themselves: no pair goes
-unseen because another one failed. Equal sets count once in all of this.
+What remains are pairs that join all texts which candidates reach: of each group in a list, every text with the group's smallest. Their components are cut into blocks of
+BYTES of shingles, and in each pair of blocks every text reached is compared with all not yet reached, first by the tally of shared bytes (SHARED or more) and then by the
+sets themselves: no pair goes unseen because another one failed. Equal sets count once in all of this.
+
+A list in blocks gives pairs within each block once, and for two blocks only those that join a group of one with a group of the other. The smallest texts that a text is
+paired with, one for each list and block at most, are then joined with each other in its place. So a group of m copies in any number of lists leaves little more than m pairs.
 """
 
 from __future__ import annotations
@@ -66,48 +69,97 @@ def _node(found: np.ndarray) -> int:
     return int(np.uint64(xxh64_intdigest(found.tobytes(), 42)).view(np.int64))
 
 
-def forest(nodes: np.ndarray, prints: np.ndarray, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs that differ in DIFFER bits or less or, with sets, share SHARED bytes or more and are similar enough."""
-    rest, pairs, front = np.arange(len(nodes)), [], []
-    while len(rest):
-        if not front:
-            front, rest = [rest[0]], rest[1:]
-        x = front.pop()
-        near = (prints[rest] == prints[x]).sum(1) >= SHARED if sets is not None else np.bitwise_count(prints[rest] ^ prints[x]).sum(1) <= DIFFER
-        if sets is not None and near.any():
-            mine, at = sets[x], np.flatnonzero(near)
+def forest(nodes: np.ndarray, prints: np.ndarray, sets: list[np.ndarray] | None = None, blocks: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """The groups that links join, each as pairs of its smallest node with the others; nodes are linked that differ in DIFFER bits or less or, with sets, share SHARED bytes or more and are similar enough.
+
+    Of two blocks: pairs of the smallest nodes of groups within a block, those that links between the blocks join.
+    """
+
+    def near(x: int, rest: np.ndarray) -> np.ndarray:
+        if sets is None:
+            return np.bitwise_count(prints[rest] ^ prints[x]).sum(1) <= DIFFER
+        found = (prints[rest] == prints[x]).sum(1) >= SHARED
+        if found.any():
+            mine, at = sets[x], np.flatnonzero(found)
             size = np.array([len(sets[y]) for y in rest[at]])
             theirs = np.concatenate([sets[y] for y in rest[at]])
             hit = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
             both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
-            near[at] = 10 * both >= round(10 * SIMILARITY) * (len(mine) + size - both)
-        linked, rest = rest[near], rest[~near]
-        pairs += [(int(nodes[x]), int(nodes[y])) for y in linked]
-        front += list(linked)
+            found[at] = 10 * both >= round(10 * SIMILARITY) * (len(mine) + size - both)
+        return found
+
+    def groups(rest: np.ndarray):
+        """Those of two and more."""
+        while len(rest) > 1:
+            group, rest, k = [int(rest[0])], rest[1:], 0
+            while k < len(group) and len(rest):
+                hit = near(group[k], rest)
+                if hit.any():
+                    group += rest[hit].tolist()
+                    rest = rest[~hit]
+                k += 1
+            if len(group) > 1:
+                yield group
+
+    if blocks is None or (blocks == blocks[0]).all():
+        return [(low, n) for group in groups(np.arange(len(nodes))) for low in [int(nodes[group].min())] for n in nodes[group].tolist() if n != low]
+
+    side = (blocks != blocks[0]).astype(int)
+    root = np.arange(len(nodes))
+    for part in (0, 1):
+        for group in groups(np.flatnonzero(side == part)):
+            root[group] = group[np.argmin(nodes[group])]
+    roots = np.unique(root)
+    rest, reached, pairs = [np.flatnonzero(side == part) for part in (0, 1)], np.zeros(len(nodes), bool), []
+    for first in roots[np.argsort(nodes[roots])].tolist():
+        if reached[first]:
+            continue
+        front, new = [], [first]
+        while front or new:
+            for r in new:
+                reached[r] = True
+                front += np.flatnonzero(root == r).tolist()
+                rest[side[r]] = rest[side[r]][root[rest[side[r]]] != r]
+            x = front.pop()
+            other = rest[1 - side[x]]
+            new = np.unique(root[other[near(x, other)]]).tolist() if len(other) else []
+            pairs += [(int(nodes[first]), int(nodes[r])) for r in new]
     return pairs
 
 
 def _pieces(members: DataFrame, sizes: DataFrame, values: list[str]) -> DataFrame:
-    """members (list, node, values) of each pair of blocks that a list of members is cut into; sizes: list and blocks, their number, of those in more than one."""
-    placed = members.join(sizes, "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = placed.select("list", "node", *values, "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    return dealt.groupBy("list", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).agg(F.collect_list(F.struct("node", *values)).alias("rows")).select("rows").where(F.size("rows") > 1)
+    """members (list, node, values) of each pair of blocks that a list of members is cut into, and the number of blocks; sizes: list and blocks, their number, of those in more than one.
+
+    A node, a hash itself, lies in the block of its remainder.
+    """
+    placed = members.join(sizes, "list", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", F.pmod("node", "blocks").cast("int"))
+    dealt = placed.select("list", "blocks", "node", *values, "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pieces = dealt.groupBy("list", "blocks", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")).agg(F.collect_list(F.struct("node", *values)).alias("rows"))
+    return pieces.select("rows", "blocks").where(F.size("rows") > 1)
+
+
+def _lowered(pairs: DataFrame) -> DataFrame:
+    """a, b (a < b), once each: the smallest of a node's smaller neighbours, which are one for each of its pieces at most, stays with it and is paired with the others in its place."""
+    smaller = pairs.groupBy("b").agg(F.collect_set("a").alias("of")).withColumn("a", F.array_min("of"))
+    moved = smaller.select(F.explode(F.transform("of", lambda x: F.struct("a", F.when(x == F.col("a"), F.col("b")).otherwise(x).alias("b")))).alias("pair"))
+    return moved.select("pair.a", "pair.b").distinct()
 
 
 def _linked(pieces: DataFrame, verify: bool) -> DataFrame:
-    """a, b: the forests of pieces."""
+    """a, b: pairs that join what the forests of pieces join, of each node but the smallest one with a smaller one, and few more."""
 
     def run(batches):
         for batch in sliced(batches):
             pairs = []
-            for rows in batch.column(0):
+            for rows, blocks in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 rows = rows.values
                 prints = np.frombuffer(b"".join(rows.field("fp").to_pylist()), np.uint8).reshape(len(rows), -1)
                 sets = [np.frombuffer(s, np.uint64) for s in rows.field("found").to_pylist()] if verify else None
-                pairs += forest(rows.field("node").to_numpy(), prints, sets)
+                nodes = rows.field("node").to_numpy()
+                pairs += forest(nodes, prints, sets, nodes % blocks if blocks > 1 else None)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return pieces.mapInArrow(run, "a long, b long").distinct()
+    return _lowered(_lowered(pieces.mapInArrow(run, "a long, b long")))
 
 
 def _sketched(texts: DataFrame, full: bool) -> DataFrame:
