@@ -21,9 +21,12 @@ CONFIG = {
 }
 
 
+_JSON = json.JSONEncoder(ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
+
+
 def canonical(value) -> str:
     """Compact JSON with sorted keys and without NaN."""
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
+    return _JSON.encode(value)
 
 
 CONFIG_JSON = canonical(CONFIG)
@@ -32,12 +35,13 @@ CONFIG_JSON = canonical(CONFIG)
 # Python
 
 
+def _framed(component: str) -> bytes:
+    data = component.encode()
+    return len(data).to_bytes(8, "big") + data
+
+
 def digest_py(*components) -> str:
-    total = hashlib.sha256()
-    for c in components:
-        data = (canonical(c) if isinstance(c, (dict, list, tuple)) else str(c)).encode()
-        total.update(len(data).to_bytes(8, "big") + data)
-    return total.hexdigest()
+    return hashlib.sha256(b"".join(_framed(canonical(c) if isinstance(c, (dict, list, tuple)) else str(c)) for c in components)).hexdigest()
 
 
 def doc_id_py(data: bytes, length: int = 16) -> str:
@@ -50,6 +54,18 @@ def node_id_py(doc_id: str, part: str, path: str, kind: str) -> str:
     return "node-" + digest_py(doc_id, part, path, kind)[:24]
 
 
+def node_ids_py(doc_id: str, part: str):
+    """node_id_py of the nodes of one part, by path and kind: what they share is hashed once."""
+    shared = hashlib.sha256(_framed(doc_id) + _framed(part))
+
+    def made(path: str, kind: str) -> str:
+        total = shared.copy()
+        total.update(_framed(path) + _framed(kind))
+        return "node-" + total.hexdigest()[:24]
+
+    return made
+
+
 def asset_id_py(data: bytes) -> str:
     return "asset-" + hashlib.sha256(data).hexdigest()
 
