@@ -56,11 +56,17 @@ RECONCILED = ("visible_text_nodes", "visible_text_chars", "image_blips", "tables
 
 def coverage(counts: DataFrame, by: list[str]) -> DataFrame:
     """by, feature, source, extracted, diagnosed, silent, ratio from rows (by, feature, source, extracted, diagnosed)."""
-    failed = F.greatest(F.lit(0).cast("long"), F.col("source") - F.col("extracted"))
-    told = F.least(failed, F.col("diagnosed"))
-    shown = F.when(F.col("source") > 0, F.least("extracted", "source")).otherwise(F.col("extracted"))
-    ratio = F.when(F.col("source") == 0, 1.0).otherwise(F.round(shown / F.col("source"), 6))
-    return counts.select(*by, "feature", "source", shown.cast("long").alias("extracted"), told.cast("long").alias("diagnosed"), (failed - told).cast("long").alias("silent"), ratio.alias("ratio"))
+    found = reconciled(F.col("source"), F.col("extracted"), F.col("diagnosed"))
+    return counts.select(*by, "feature", "source", *[found[f].alias(f) for f in ("extracted", "diagnosed", "silent", "ratio")])
+
+
+def reconciled(source: Column, extracted: Column, diagnosed: Column) -> Column:
+    """struct(extracted, diagnosed, silent, ratio) of what was counted, extracted and diagnosed of a feature."""
+    failed = F.greatest(F.lit(0).cast("long"), source - extracted)
+    told = F.least(failed, diagnosed)
+    shown = F.when(source > 0, F.least(extracted, source)).otherwise(extracted)
+    ratio = F.when(source == 0, 1.0).otherwise(F.round(shown / source, 6))
+    return F.struct(shown.cast("long").alias("extracted"), told.cast("long").alias("diagnosed"), (failed - told).cast("long").alias("silent"), ratio.alias("ratio"))
 
 
 # checks

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docledger.lineage import written
 from docledger.operators import views
 from docledger.plans.documents import table
 from docledger.sources import packages
@@ -73,6 +74,16 @@ def package(doc_id: int, text: str | None) -> bytes:
     return out.getvalue()
 
 
+def _dealt(documents: DataFrame) -> DataFrame:
+    """The same rows, over as many tasks as keep all cores at work: reading a package costs far more than its bytes, by which Spark deals out files."""
+    size = int(documents._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return documents.repartition(max(4 * documents.sparkSession.sparkContext.defaultParallelism, min(size // TASK_BYTES, 20000)))
+
+
+#: Bytes of a table of documents that one task turns into packages and reads.
+TASK_BYTES = 4 << 20
+
+
 def files(documents: DataFrame) -> DataFrame:
     """path and content of each document's package."""
 
@@ -82,15 +93,26 @@ def files(documents: DataFrame) -> DataFrame:
                 ids, texts = (batch.column(c).slice(k, 64).to_pylist() for c in (0, 1))
                 yield pa.RecordBatch.from_arrays([pa.array([f"{d}.docx" for d in ids]), pa.array([package(d, t) for d, t in zip(ids, texts, strict=True)], pa.binary())], names=["path", "content"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "path string, content binary")
+    return _dealt(documents.select("doc_id", "text")).mapInArrow(run, "path string, content binary")
+
+
+def _parsed(spark, sf_dir, **lists) -> DataFrame:
+    """Documents as parsed, with the lists that are named, and of each the fields (all if there are none)."""
+    return packages.parse(files(table(spark, sf_dir, "documents")), only=lists)
+
+
+def _ledgers(spark, sf_dir, **lists) -> DataFrame:
+    """doc, doc_id and nodes of each document, for views that read them once."""
+    return _parsed(spark, sf_dir, nodes=views.FIELDS, **lists).select("doc", "doc_id", "nodes", *lists)
 
 
-def _parsed(spark, sf_dir) -> DataFrame:
-    return packages.parse(files(table(spark, sf_dir, "documents")))
+def _written(spark, sf_dir, **lists) -> DataFrame:
+    """The same, parsed once and written, for views that read them more often."""
+    return written(_ledgers(spark, sf_dir, **lists))
 
 
-def _nodes(spark, sf_dir) -> DataFrame:
-    return packages.table(_parsed(spark, sf_dir), "nodes")
+#: Fields of nodes that features are counted by.
+COUNTED = ["kind", "status", "text", "deleted", "instruction"]
 
 
 def _of(rows: DataFrame) -> DataFrame:
@@ -100,86 +122,87 @@ def _of(rows: DataFrame) -> DataFrame:
 
 def package_nodes(spark, sf_dir):
     """Every node that stands at the top of a body: where it stands, as what, and how far it reaches."""
-    n = _nodes(spark, sf_dir).where(F.size("ancestors") == 1)
+    n = packages.table(_parsed(spark, sf_dir, nodes=["sequence", "sibling_index", "kind", "xml_path", "style_id", "num_id", "list_level", "subtree_end", "ancestors"]), "nodes").where(F.size("ancestors") == 1)
     return _of(n.select("doc", "sequence", "sibling_index", "kind", "xml_path", "style_id", "num_id", "list_level", "subtree_end"))
 
 
 def package_blocks(spark, sf_dir):
     """What a reader sees, in order. A list begins where its first item does."""
-    b = views.blocks(_nodes(spark, sf_dir))
-    return _of(b.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("seq", "kind")).alias("place"), "kind", "text", F.size("sources").alias("n_sources")))
+    b = views.blocks(_written(spark, sf_dir)).select("doc", "seq", "kind", "text", F.size("sources").alias("n_sources"))
+    return _of(b.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("seq", "kind")).alias("place"), "kind", "text", "n_sources"))
 
 
 def package_lists(spark, sf_dir):
-    items = views.list_items(_nodes(spark, sf_dir))
+    items = views.list_items(_ledgers(spark, sf_dir))
     return _of(items.select("doc", "list_no", "seq", "num_id", "level", "ordered", "marker", "parent_seq"))
 
 
 def package_sections(spark, sf_dir):
     """Sections by the styles of headings, with the heading above."""
-    s = views.sections(_nodes(spark, sf_dir))
+    s = written(views.sections(_ledgers(spark, sf_dir)))
     above = s.select("doc", F.col("section_id").alias("parent_id"), F.col("seq").alias("parent_seq"))
     return _of(s.join(above, ["doc", "parent_id"], "left").select("doc", "seq", "end_seq", "level", "title", "via", "confidence", "parent_seq"))
 
 
 def package_captions(spark, sf_dir):
-    n = _nodes(spark, sf_dir)
-    at = n.select("doc", F.col("node_id").alias("id"), "sequence", "kind")
+    n = _written(spark, sf_dir)
+    # captions are paragraphs, what they tell of is an image or a table
+    at = packages.table(n, "nodes").where(F.col("kind").isin("paragraph", "image", "table")).select("doc", F.col("node_id").alias("id"), "sequence", "kind")
     c = views.captions(n).join(at.select("doc", F.col("id").alias("caption_id"), F.col("sequence").alias("seq")), ["doc", "caption_id"])
     c = c.join(at.select("doc", F.col("id").alias("target_id"), F.col("sequence").alias("target_seq"), F.col("kind").alias("target_kind")), ["doc", "target_id"])
     return _of(c.select("doc", "seq", "target_seq", "target_kind", "confidence"))
 
 
 def package_tables(spark, sf_dir):
-    return _of(views.table_profiles(_nodes(spark, sf_dir)).select("doc", F.col("table").alias("seq"), "n_rows", "n_columns", "rectangular", "header_rows"))
+    return _of(views.table_profiles(_written(spark, sf_dir)).select("doc", F.col("table").alias("seq"), "n_rows", "n_columns", "rectangular", "header_rows"))
 
 
 def package_cells(spark, sf_dir):
-    return _of(views.cells(_nodes(spark, sf_dir)).select("doc", "table", "row", "column", "column_span", "original", "value", "marked", "declared"))
+    return _of(views.cells(_ledgers(spark, sf_dir)).select("doc", "table", "row", "column", "column_span", "original", "value", "marked", "declared"))
 
 
 def package_chart_candidates(spark, sf_dir):
-    return _of(views.chart_candidates(_nodes(spark, sf_dir)).select("doc", "table", "category_column", F.size("sources").alias("n_sources")))
+    return _of(views.chart_candidates(_written(spark, sf_dir)).select("doc", "table", "category_column", F.size("sources").alias("n_sources")))
 
 
 def package_coverage(spark, sf_dir):
     """All ten features that are reconciled."""
-    return _of(views.coverage(_parsed(spark, sf_dir)))
+    return _of(views.coverage(_parsed(spark, sf_dir, nodes=COUNTED, inventory=["feature", "value"])))
 
 
 def package_inventory(spark, sf_dir):
     """What was counted in the parts, by feature."""
-    rows = packages.table(_parsed(spark, sf_dir), "inventory").groupBy("doc", "feature").agg(F.count("*").alias("n"), F.count_distinct("xml_path").alias("places"), F.count("target_part").alias("targets"))
+    rows = packages.table(_parsed(spark, sf_dir, inventory=[]), "inventory").groupBy("doc", "feature").agg(F.count("*").alias("n"), F.count_distinct("xml_path").alias("places"), F.count("target_part").alias("targets"))
     return _of(rows)
 
 
 def package_health(spark, sf_dir):
-    return _of(views.health(_parsed(spark, sf_dir)).select("doc", "filename", "state", "reason"))
+    return _of(views.health(_parsed(spark, sf_dir, nodes=COUNTED, inventory=["feature", "value"], diagnostics=[])).select("doc", "filename", "state", "reason"))
 
 
 def package_findings(spark, sf_dir):
     """What is wrong with the packages."""
-    return _of(packages.table(_parsed(spark, sf_dir), "diagnostics").select("doc", "code", "severity", "part_name", "relationship_id"))
+    return _of(packages.table(_parsed(spark, sf_dir, diagnostics=[]), "diagnostics").select("doc", "code", "severity", "part_name", "relationship_id"))
 
 
 def package_relationships(spark, sf_dir):
-    r = packages.table(_parsed(spark, sf_dir), "relationships")
+    r = packages.table(_parsed(spark, sf_dir, relationships=[]), "relationships")
     return _of(r.select("doc", "source_part", "relationship_id", "target", "mode", "target_part", "external_url", F.col("error").isNotNull().alias("refused")))
 
 
 def package_parts(spark, sf_dir):
-    return _of(packages.table(_parsed(spark, sf_dir), "parts"))
+    return _of(packages.table(_parsed(spark, sf_dir, parts=[]), "parts"))
 
 
 def package_assets(spark, sf_dir):
     """Documents by the assets that they show."""
-    a = packages.table(_parsed(spark, sf_dir), "assets")
+    a = packages.table(_parsed(spark, sf_dir, assets=[]), "assets")
     return a.groupBy("asset_id", "mime_type", "byte_size", "extension").agg(F.count("*").alias("documents"), F.min(F.array_join("source_parts", ",")).alias("source_parts"))
 
 
 def package_evidence(spark, sf_dir):
     """Evidence by document and kind, and how many sections it is placed in."""
-    e = views.evidence(_nodes(spark, sf_dir))
+    e = views.evidence(_written(spark, sf_dir))
     rows = e.groupBy("doc", "kind").agg(F.count("*").alias("n"), F.count_distinct("evidence_id").alias("different"), F.sum(F.size("sections")).alias("placed"))
     return _of(rows)
 
@@ -187,7 +210,7 @@ def package_evidence(spark, sf_dir):
 def package_violations(spark, sf_dir):
     """Rules that ledgers break, by rule: none, so each rule has nothing."""
     rules = spark.createDataFrame([(r,) for r in ("duplicate node", "missing parent", "missing asset", "missing source")], "rule string")
-    found = views.violations(_parsed(spark, sf_dir)).groupBy("rule").agg(F.count("*").alias("n"))
+    found = views.violations(_written(spark, sf_dir, assets=["asset_id"])).groupBy("rule").agg(F.count("*").alias("n"))
     return rules.join(found, "rule", "left").select("rule", F.coalesce("n", F.lit(0)).alias("n"))
 
 
